@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.catalog.base import query, table
@@ -16,10 +17,13 @@ from panelkit.sources import sinks
 
 
 def _registry(spark, sf_dir):
-    """The periods before 1999, numbered in label order, one batch a year."""
+    """The periods before 1999, numbered in label order, one batch a year.
+
+    There are at most four durations in each month, so one task can number them.
+    """
     old = new_periods(spark, sf_dir).filter("year < 1999")
     periods = old.select("period_lbl", "label_num", "year").distinct()
-    number = F.row_number().over(_by_label())
+    number = F.row_number().over(Window.orderBy("label_num"))
     return periods.select(
         "period_lbl",
         "label_num",
@@ -29,12 +33,6 @@ def _registry(spark, sf_dir):
     )
 
 
-def _by_label():
-    from pyspark.sql import Window
-
-    return Window.orderBy("label_num")
-
-
 REGISTRY_SQL = f"""WITH labelled AS ({NEW_PERIODS_SQL}),
     old AS (SELECT period_lbl, label_num, '2024-01-01' AS date_added,
         CAST(row_number() OVER (ORDER BY label_num) AS INTEGER) AS period_code,
@@ -290,12 +288,19 @@ def report_write(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('missing', 'o_margin'), ('unlabelled', 'o_orderkey'), ('unlabelled', 'o_custkey'),
-      ('unlabelled', 'o_orderdate'), ('unlabelled', 'o_orderpriority')) AS v(finding, column_name)"""
+    """SELECT 'unlabelled' AS finding, 'o_orderkey' AS column_name, count(o_orderkey) AS n_values FROM orders
+    UNION ALL SELECT 'unlabelled', 'o_custkey', count(o_custkey) FROM orders
+    UNION ALL SELECT 'unlabelled', 'o_orderdate', count(o_orderdate) FROM orders
+    UNION ALL SELECT 'unlabelled', 'o_orderpriority', count(o_orderpriority) FROM orders
+    UNION ALL SELECT 'missing', 'o_margin', 0"""
 )
 def column_report(spark, sf_dir):
-    """Wanted columns that are absent, and key columns without labels."""
+    """Wanted columns that are absent, and key columns without labels, with their values."""
     orders = table(spark, sf_dir, "orders")
-    rows = [("missing", c) for c in Q.missing_columns(orders, ["o_orderkey", "o_margin"])]
-    rows += [("unlabelled", c) for c in Q.columns_without_labels(orders, ["o_orderstatus"])]
-    return spark.createDataFrame(rows, "finding string, column_name string")
+    missing = Q.missing_columns(orders, ["o_orderkey", "o_margin"])
+    unlabelled = Q.columns_without_labels(orders, ["o_orderstatus"])
+    counts = orders.agg(
+        *[F.count(c).alias(c) for c in unlabelled], *[F.lit(0).cast("long").alias(c) for c in missing]
+    ).unpivot([], [*unlabelled, *missing], "column_name", "n_values")
+    finding = F.when(F.col("column_name").isin(missing), "missing").otherwise("unlabelled")
+    return counts.select(finding.alias("finding"), "column_name", "n_values")

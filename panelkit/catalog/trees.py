@@ -11,7 +11,7 @@ from panelkit.operators.union import union_all
 
 
 def tree_facts(spark, sf_dir):
-    """Panel rows naming node and parent: every order for its customer, and the inner nodes."""
+    """Panel rows naming node and parent: every customer and order, and the inner nodes."""
     orders = table(spark, sf_dir, "orders").select("o_custkey")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -25,28 +25,27 @@ def tree_facts(spark, sf_dir):
             order.cast("long").alias("order"),
         )
 
-    buyers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "right")
+    def customers(df):
+        order = F.floor(F.col("c_acctbal") / 100)
+        return rows(df, F.col("c_custkey") + 1000, F.col("c_nationkey") + 100, F.col("c_name"), order)
+
     return union_all(
         [
-            rows(
-                buyers,
-                F.col("c_custkey") + 1000,
-                F.col("c_nationkey") + 100,
-                F.col("c_name"),
-                F.floor(F.col("c_acctbal") / 100),
-            ),
+            customers(customer),
+            customers(orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))),
             rows(nation, F.col("n_nationkey") + 100, F.col("n_regionkey") + 10, F.col("n_name"), -F.col("n_nationkey")),
             rows(region, F.col("r_regionkey") + 10, F.lit(1), F.col("r_name"), F.col("r_regionkey")),
-            rows(region.limit(1), F.lit(1), F.lit(1), F.lit("ALL"), F.lit(0)),
+            rows(region.agg(F.lit(1).alias("id")), F.col("id"), F.col("id"), F.lit("ALL"), F.lit(0)),
         ]
     )
 
 
 def tree_edges(spark, sf_dir):
+    """Edges with the sibling order, which the facts of this tree carry themselves."""
     facts = tree_facts(spark, sf_dir)
-    edges = H.edges_from_facts(facts, "node", "parent", "label")
-    orders = facts.select(F.col("node").alias("id"), "order").distinct()
-    return edges.join(orders, "id")
+    label = F.struct("label", "order").alias("label")
+    edges = H.edges_from_facts(facts.select("node", "parent", label), "node", "parent", "label")
+    return edges.select("id", "parent", "label.label", "label.order")
 
 
 EDGES_SQL = """edges AS (

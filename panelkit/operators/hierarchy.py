@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelkit.operators.lookup import lookup, require_unique
 from panelkit.operators.ranks import ONE_TASK_ROWS, with_dense_rank
 from panelkit.operators.skew import BROADCAST_BYTES, sized_join
-from panelkit.session import stage
+from panelkit.session import stage, stage_sized
 
 
 class BrokenTreeError(ValueError):
@@ -73,10 +73,13 @@ def walk(
     strict mode and is left out otherwise; see ``unreached``.
     """
     scope = list(scope)
-    require_unique(edges, [*scope, "id"], "tree")
+    edges = stage(edges, "edges")
+    total, _, _ = require_unique(edges, [*scope, "id"], "tree")
     below_root = edges.filter(F.col("id") != F.col("parent"))
-    ranked = with_dense_rank(below_root, [*scope, "parent"], ["order"], "rank", one_task_rows)
-    children = stage(ranked.select(*scope, "id", "parent", "label", "rank"), "edges")
+    ranked = with_dense_rank(
+        below_root.drop("conflict"), [*scope, "parent"], ["order"], "rank", one_task_rows, total
+    )
+    children = stage(ranked.select(*scope, "id", "parent", "label", "rank"), "children")
 
     label = F.trim(F.concat(F.lit("0. "), F.col("label")))
     level = roots(edges).select(
@@ -90,21 +93,17 @@ def walk(
         label.alias("hier"),
         F.array(label).alias("hiers"),
     )
-    levels = []
+    levels, reached = [], 0
     while True:
-        level = stage(level, f"level-{len(levels)}")
-        if level.isEmpty():
-            break
+        level, rows, measured = stage_sized(level, f"level-{len(levels)}")
         levels.append(level)
+        reached += rows
+        if not rows or reached == total:
+            break
         above = level.select(
-            *scope,
-            F.col("id").alias("parent"),
-            "depth",
-            "path",
-            F.col("ordinal").alias("above"),
-            "hiers",
+            *scope, F.col("id").alias("parent"), "depth", "path", F.col("ordinal").alias("above"), "hiers"
         )
-        below = sized_join(children, above, [*scope, "parent"], "inner", limit)
+        below = sized_join(children, above, [*scope, "parent"], "inner", limit, measured)
         ordinal = F.concat("above", F.col("rank").cast("string"), F.lit("."))
         below = below.withColumn("ordinal", ordinal).withColumn(
             "hier", F.trim(F.concat("ordinal", F.lit("0. "), F.col("label")))
@@ -120,12 +119,10 @@ def walk(
             "hier",
             F.concat("hiers", F.array("hier")).alias("hiers"),
         )
-    nodes = reduce(DataFrame.unionByName, levels or [level])
-    if strict:
-        lost = unreached(edges, nodes, scope)
-        some = [row.id for row in lost.select("id").take(5)]
-        if some:
-            raise BrokenTreeError(f"no root leads to {some}, the first of {lost.count()} nodes")
+    nodes = reduce(DataFrame.unionByName, levels)
+    if strict and reached < total:
+        some = [row.id for row in unreached(edges, nodes, scope).select("id").take(5)]
+        raise BrokenTreeError(f"no root leads to {total - reached} nodes, {some} among them")
     return nodes
 
 

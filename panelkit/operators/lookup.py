@@ -40,7 +40,7 @@ def lookup(
     twice = set(df.columns) & set(dim.columns) - set(keys)
     if twice:
         raise ValueError(f"columns on both sides of the lookup: {sorted(twice)}")
-    measured = require_unique(dim, keys, "dictionary") if validate else profile(dim, keys)
+    measured = require_unique(dim, keys, "dictionary")[1] if validate else None
     return sized_join(df, dim, keys, limit=limit, measured=measured)
 
 

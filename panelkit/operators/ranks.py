@@ -19,15 +19,17 @@ def with_row_number(
     order: Sequence[str | Column],
     to: str,
     one_task_rows: int = ONE_TASK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of every ``by`` group from 1 in ``order``.
 
-    A table of at most ``one_task_rows`` rows uses a plain window. A larger one is sorted
-    by range, so that a big group lies across many partitions; rows are numbered inside
-    each partition and moved up by the group's rows in the partitions before it.
+    A table of at most ``one_task_rows`` rows (counted unless ``rows`` tells) uses a plain
+    window, which then cannot meet a larger group. A larger table is sorted by range, so that
+    a big group lies across many partitions; rows are numbered inside each partition and
+    moved up by the group's rows in the partitions before it.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    if df.count() <= one_task_rows:
+    if (df.count() if rows is None else rows) <= one_task_rows:
         return df.withColumn(to, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
 
     # Rows with one and the same order value may be numbered in any order, so copies are
@@ -59,9 +61,10 @@ def with_dense_rank(
     order: Sequence[str],
     to: str,
     one_task_rows: int = ONE_TASK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rank the ``order`` values inside every ``by`` group; equal values share a rank."""
-    if df.count() <= one_task_rows:
+    if (df.count() if rows is None else rows) <= one_task_rows:
         return df.withColumn(to, F.dense_rank().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     values = df.select(*by, *order).distinct()
     ranked = with_row_number(values, by, order, to, one_task_rows)

@@ -14,25 +14,16 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+
+from panelkit.session import row_bytes
 
 SLICES = 2000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Rough in-memory size of a row."""
-    size = F.lit(16)
-    for field in df.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, StringType):
-            size = size + 8 + F.coalesce(F.octet_length(column), F.lit(0))
-        elif isinstance(field.dataType, ArrayType):
-            text = F.array_join(column.cast("array<string>"), " ")
-            size = size + 16 + 8 * F.size(column) + F.coalesce(F.octet_length(text), F.lit(0))
-        else:
-            size = size + 8
-    return size.cast("long")
+def size(df: DataFrame) -> int:
+    """Bytes of a table, in one pass."""
+    return int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
 
 
 def profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
@@ -119,11 +110,10 @@ def sized_join(
     keys: Sequence[str],
     how: str = "left",
     limit: int = BROADCAST_BYTES,
-    measured: tuple[int, int, int] | None = None,
+    measured: int | None = None,
 ) -> DataFrame:
-    """Broadcast ``side`` if its measured size allows, else join with hot keys cut up."""
-    _, size, _ = measured or profile(side, keys)
-    if size <= limit:
+    """Broadcast ``side`` if its measured bytes allow, else join with hot keys cut up."""
+    if (size(side) if measured is None else measured) <= limit:
         return null_safe_join(df, F.broadcast(side), keys, how)
     if how in ("left_semi", "left_anti"):
         marked = side.select(*keys).distinct().withColumn("__hit", F.lit(True))

@@ -15,7 +15,7 @@ from panelkit.operators.skew import (
     SLICES,
     join_hot_right,
     null_safe_join,
-    profile,
+    size,
 )
 
 
@@ -76,7 +76,7 @@ def backfill(
     keys = sorted(set(kept.columns) & set(source.columns))
     if validate:
         require_unique(kept, keys, "old rows")
-    if profile(source, keys)[1] <= limit:
+    if size(source) <= limit:
         joined = null_safe_join(kept, F.broadcast(source), keys)
     else:
         joined = join_hot_right(kept, source, keys, slices)

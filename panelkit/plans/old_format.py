@@ -16,7 +16,6 @@ from panelkit.functions import columns as C
 from panelkit.functions.periods import with_date_parts, with_old_period_label
 from panelkit.operators import hierarchy as H
 from panelkit.operators.lookup import inverse_map, miss_counts, soft_map, strict_map
-from panelkit.session import stage
 
 # Every category has its own trees: siblings a category lacks take no rank there.
 SCOPE = ["Category Name"]
@@ -46,7 +45,7 @@ def product_nodes(facts: DataFrame, groups: DataFrame, order=None, strict: bool
     ).drop("label", "conflict")
     edges = strict_map(edges, "id", groups, "vendor product id", "full_label", "label")
     edges = strict_map(edges, "id", groups, "vendor product id", "product_code", "order")
-    return H.walk(stage(edges, "product-edges"), strict, SCOPE)
+    return H.walk(edges, strict, SCOPE)
 
 
 def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = True) -> DataFrame:
@@ -55,7 +54,7 @@ def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = Tr
         facts, "Buyer Group ID", "Buyer Group Parent ID", "Buyer Group Name", order, SCOPE
     ).drop("conflict")
     edges = strict_map(edges, "id", demo, "buyer group id", "demo_code", "order")
-    return H.walk(stage(edges, "buyer-edges"), strict, SCOPE)
+    return H.walk(edges, strict, SCOPE)
 
 
 def prepare(

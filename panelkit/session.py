@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 _local_roots: dict[str, str] = {}
 
@@ -59,3 +61,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Rough in-memory size of a row."""
+    size = F.lit(16)
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, StringType):
+            size = size + 8 + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, ArrayType):
+            text = F.array_join(column.cast("array<string>"), " ")
+            size = size + 16 + 8 * F.size(column) + F.coalesce(F.octet_length(text), F.lit(0))
+        else:
+            size = size + 8
+    return size.cast("long")
+
+
+def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """``stage``, and the rows and bytes of the table, counted by the write itself."""
+    seen = Observation(name)
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    )
+    staged = stage(counted, name)
+    return staged, seen.get["rows"], seen.get["bytes"]
