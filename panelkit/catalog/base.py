@@ -33,6 +33,13 @@ def yyyymmdd(column: str):
     return F.date_format(column, "yyyyMMdd").cast("long")
 
 
+def cents(price: str):
+    """A price in whole cents: sums of them are exact in any order."""
+    return F.round(F.col(price) * 100).cast("long")
+
+
+CENTS_SQL = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+
 # The order priorities stand in for period types; the last one is no known type.
 TYPE_OF_PRIORITY = {
     "1-URGENT": "MAT/ 52 we",

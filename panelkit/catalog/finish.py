@@ -170,6 +170,11 @@ USED_SQL = """used AS (SELECT DISTINCT 'nation' AS variable, CAST(nullif(c_natio
       UNION SELECT DISTINCT 'segment', c_mktsegment FROM customer)"""
 
 
+def _uncovered(spark, sf_dir):
+    labels = label_table(_label_sources(spark, sf_dir))
+    return Q.uncovered_codes(_coded_customers(spark, sf_dir), labels, ["nation", "segment", "absent"])
+
+
 @query(f"WITH {USED_SQL} SELECT * FROM used")
 def codes_in_use(spark, sf_dir):
     return Q.codes_in_use(_coded_customers(spark, sf_dir), ["nation", "segment"])
@@ -180,7 +185,7 @@ def codes_in_use(spark, sf_dir):
       SELECT 1 FROM labels_long l WHERE l.variable = u.variable AND l.code IS NOT DISTINCT FROM u.code)"""
 )
 def code_coverage(spark, sf_dir):
-    return Q.uncovered_codes(_coded_customers(spark, sf_dir), label_table(_label_sources(spark, sf_dir)))
+    return _uncovered(spark, sf_dir)
 
 
 @query(
@@ -281,7 +286,7 @@ def staged_reuse(spark, sf_dir):
       SELECT 1 FROM labels_long l WHERE l.variable = u.variable AND l.code IS NOT DISTINCT FROM u.code)"""
 )
 def report_write(spark, sf_dir):
-    report = stage(Q.uncovered_codes(_coded_customers(spark, sf_dir), label_table(_label_sources(spark, sf_dir))), "report")
+    report = stage(_uncovered(spark, sf_dir), "report")
     path = staging_path(spark, "uncovered")
     sinks.write_report(report, path)
     return spark.read.parquet(path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelkit.catalog.base import table
+from panelkit.catalog.base import cents, table
 from panelkit.fixed import CATEGORY_CODES
 from panelkit.functions.columns import map_value
 from panelkit.operators.union import union_all
@@ -55,7 +55,7 @@ def cells(spark, sf_dir):
     summed = rows.groupBy("k", "b", "s", "seg", "st", "y").agg(
         F.count_if(F.col("l_discount") > 0).alias("occasions"),
         F.count_if(F.col("l_returnflag") == "R").alias("buyers"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("spend"),
+        F.sum(cents("l_extendedprice")).alias("spend"),
         F.sum(F.col("l_quantity").cast("long")).alias("volume"),
     )
     return stage(summed, "cells")
@@ -113,7 +113,7 @@ def old_raw(base):
         (F.col("y") * 10000 + 1231).cast("long").alias("Time Period End Date"),
         F.col("occasions").cast("double").alias("Occasions"),
         F.col("buyers").cast("double").alias("Buying Households"),
-        F.col("spend").cast("double").alias("Spend Local Currency"),
+        (F.col("spend") / 100).alias("Spend Local Currency"),
         F.col("volume").cast("double").alias("Volume SU"),
     )
 
@@ -143,7 +143,7 @@ def new_raw(base):
         F.lit(12).alias("month"),
         F.concat("folder", F.lit("/"), _pick(FILES, F.col("k")), F.lit("_allshops.parquet")).alias("file"),
         F.col("buyers").cast("double").alias("Buying HH"),
-        (F.col("spend").cast("double") / 7).alias("Spend Local Currency"),
+        (F.col("spend") / 700).alias("Spend Local Currency"),
         (F.col("volume").cast("double") / 7).alias("Volume SU"),
     )
 
@@ -197,7 +197,7 @@ def dictionaries(base):
         F.when(F.col("shop_code") == 1, "National").otherwise("Shops").alias("channel_type"),
     )
     types = base.agg(F.lit("MAT/ 52 we").alias("time_period_type"), F.lit(2).alias("time_period_code"))
-    return Dictionaries(*[stage(t, "dictionary") for t in (products, demo, segments, shops, types)])
+    return Dictionaries(stage(products, "products"), demo, segments, shops, types)
 
 
 def first_registry(base):

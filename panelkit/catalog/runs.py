@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.catalog import panel
-from panelkit.catalog.base import query
+from panelkit.catalog.base import CENTS_SQL, query
 from panelkit.operators.registry import register_periods
 from panelkit.plans import export, merged, new_format, old_format
 from panelkit.session import stage, staging_path
@@ -18,11 +18,11 @@ DIMENSIONS = [
 METRICS = ["buying_households", "spend_local_currency", "volume_su"]
 WANTED = [*DIMENSIONS, *METRICS, "shop_code", "shop_lvls", "channel_code", "file"]
 
-CELLS_SQL = """lines AS (SELECT CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
+CELLS_SQL = f"""lines AS (SELECT CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
         WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END AS k, CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS b,
         p_size // 10 AS s, c_mktsegment AS seg, o_orderstatus AS st, CAST(year(o_orderdate) AS INTEGER) AS y,
         CASE WHEN l_discount > 0 THEN 1 ELSE 0 END AS occ, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS buy,
-        CAST(l_extendedprice AS DECIMAL(18, 2)) AS price, CAST(l_quantity AS BIGINT) AS vol
+        {CENTS_SQL} AS price, CAST(l_quantity AS BIGINT) AS vol
       FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
       JOIN customer ON o_custkey = c_custkey),
     names AS (SELECT * FROM (VALUES (1, 'Diapers', 'Diapers', 'diapers'), (2, 'MALE B&R', 'MALE B&R', 'MALE B&R'),
@@ -43,7 +43,7 @@ OLD_SQL = f"""{CELLS_SQL},
       SELECT *, 1 AS bid, 0 AS demo_lvls, 'TOTAL DEMOGRAPHICS' AS blabel FROM by_product
       UNION ALL SELECT p.*, g.bid, 2, seg FROM by_product p JOIN groups g USING (seg)),
     facts AS (SELECT k, pid, pparent, depth, plabel, feature, bid, demo_lvls, blabel, y,
-        CAST(sum(occ) AS DOUBLE) AS occ, CAST(sum(buy) AS DOUBLE) AS buy, CAST(sum(price) AS DOUBLE) AS spend,
+        CAST(sum(occ) AS DOUBLE) AS occ, CAST(sum(buy) AS DOUBLE) AS buy, CAST(sum(price) AS DOUBLE) / 100 AS spend,
         CAST(sum(vol) AS DOUBLE) AS vol
       FROM by_buyer GROUP BY ALL HAVING sum(occ) > 0),
     brands AS (SELECT pid, dense_rank() OVER (PARTITION BY k ORDER BY 10000000 - pid) AS r
@@ -114,7 +114,7 @@ OLD_CODED_SQL = """old_coded AS (SELECT f.k AS category, CAST(10000000 - pid AS
 def _registered(base):
     """The registry grown by the periods of the new deliveries."""
     labelled = new_format.labelled(panel.new_raw(base))
-    return stage(register_periods(labelled, stage(panel.first_registry(base), "registry"), "2024-06-01"), "registry")
+    return stage(register_periods(labelled, panel.first_registry(base), "2024-06-01"), "registry")
 
 
 def _recoded(base, dims, registry):
@@ -147,7 +147,7 @@ def old_format_misses(spark, sf_dir):
 
 
 NEW_SQL = """new_rows AS (
-      SELECT k, pid, depth, bid, shop, y, CAST(sum(buy) AS DOUBLE) AS buy, CAST(sum(price) AS DOUBLE) / 7 AS spend,
+      SELECT k, pid, depth, bid, shop, y, CAST(sum(buy) AS DOUBLE) AS buy, CAST(sum(price) AS DOUBLE) / 700 AS spend,
         CAST(sum(vol) AS DOUBLE) / 7 AS vol
       FROM (SELECT * FROM by_buyer WHERE depth < 2) CROSS JOIN (VALUES ('National'), ('Status')) AS s(scope),
         LATERAL (SELECT CASE WHEN scope = 'National' THEN 1 WHEN st = 'F' THEN 2 WHEN st = 'O' THEN 3 ELSE 4 END AS shop)

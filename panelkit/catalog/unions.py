@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelkit.catalog.base import query, table
+from panelkit.catalog.base import CENTS_SQL, cents, query, table
 from panelkit.functions.columns import round_metrics
 from panelkit.operators import union as U
 from panelkit.operators.shares import with_shares
@@ -95,10 +95,7 @@ def large_backfill(spark, sf_dir):
 
 def panel(spark, sf_dir):
     """Panel rows by product type, brand, year and buyer segment, with the demographic
-    total of every product and year as group 1.
-
-    A customer has one segment, so the buyers of a total are the sum over its segments.
-    """
+    total of every product and year as group 1. Purchases stand in for buyers."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -110,8 +107,8 @@ def panel(spark, sf_dir):
     )
     keys = ["p_type", "p_brand", "year"]
     segments = rows.groupBy(*keys, "c_mktsegment").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("spend"),
-        F.count_distinct("o_custkey").alias("buyers"),
+        F.sum(cents("l_extendedprice")).alias("spend"),
+        F.count("*").alias("buyers"),
     )
     segments = stage(segments, "segments")
     total = segments.groupBy(*keys).agg(F.sum("spend").alias("spend"), F.sum("buyers").alias("buyers"))
@@ -125,20 +122,20 @@ def panel(spark, sf_dir):
         *keys,
         "c_mktsegment",
         "demo_groups",
-        F.col("spend").cast("double").alias("spend_local_currency"),
+        (F.col("spend") / 100).alias("spend_local_currency"),
         F.col("buyers").cast("double").alias("buying_households"),
     )
 
 
-SHARE_SQL = """WITH rows AS (SELECT p_type, p_brand, CAST(year(o_orderdate) AS INTEGER) AS "year", c_mktsegment,
-        o_custkey, CAST(l_extendedprice AS DECIMAL(18, 2)) AS price
+SHARE_SQL = f"""WITH rows AS (SELECT p_type, p_brand, CAST(year(o_orderdate) AS INTEGER) AS "year", c_mktsegment,
+        {CENTS_SQL} AS price
       FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
       JOIN customer ON o_custkey = c_custkey),
     panel AS (
-      SELECT p_type, p_brand, "year", c_mktsegment, 2 AS demo_groups, CAST(sum(price) AS DOUBLE) AS spend,
-        CAST(count(DISTINCT o_custkey) AS DOUBLE) AS buyers FROM rows GROUP BY ALL
-      UNION ALL SELECT p_type, p_brand, "year", 'TOTAL', 1, CAST(sum(price) AS DOUBLE),
-        CAST(count(DISTINCT o_custkey) AS DOUBLE) FROM rows GROUP BY ALL)
+      SELECT p_type, p_brand, "year", c_mktsegment, 2 AS demo_groups, CAST(sum(price) AS DOUBLE) / 100 AS spend,
+        CAST(count(*) AS DOUBLE) AS buyers FROM rows GROUP BY ALL
+      UNION ALL SELECT p_type, p_brand, "year", 'TOTAL', 1, CAST(sum(price) AS DOUBLE) / 100,
+        CAST(count(*) AS DOUBLE) FROM rows GROUP BY ALL)
     SELECT p.p_type, p.p_brand, p."year", p.c_mktsegment, p.demo_groups, p.spend AS spend_local_currency,
       p.buyers AS buying_households,
       round_even(p.spend / nullif(t.spend, 0) * 100 * 1000, 0) / 1000 AS value_share,

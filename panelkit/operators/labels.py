@@ -13,7 +13,11 @@ from panelkit.operators.union import union_all
 
 
 class LabelSource(NamedTuple):
-    """A dictionary that labels a coded variable; of repeated codes the last in ``order`` counts."""
+    """A dictionary that labels a coded variable.
+
+    Of the labels of a repeated code the last one in ``order`` (an integer column) counts,
+    or the last in text order without one.
+    """
 
     variable: str
     dim: DataFrame
@@ -23,18 +27,20 @@ class LabelSource(NamedTuple):
 
 
 def label_table(sources: Iterable[LabelSource]) -> DataFrame:
-    """(variable, code, label) over all dictionaries, codes as text."""
+    """(variable, code, label) over all dictionaries, codes as text; one shuffle for all."""
 
     def one(source: LabelSource) -> DataFrame:
-        label = F.col(source.label).cast("string")
-        order = F.col(source.order) if source.order else label
-        return (
-            source.dim.groupBy(F.col(source.code).cast("string").alias("code"))
-            .agg(F.max_by(label, order).alias("label"))
-            .select(F.lit(source.variable).alias("variable"), "code", "label")
+        order = F.col(source.order) if source.order else F.lit(None)
+        return source.dim.select(
+            F.lit(source.variable).alias("variable"),
+            F.col(source.code).cast("string").alias("code"),
+            F.struct(
+                order.cast("long").alias("order"), F.col(source.label).cast("string").alias("label")
+            ).alias("last"),
         )
 
-    return union_all(map(one, sources))
+    every = union_all(map(one, sources))
+    return every.groupBy("variable", "code").agg(F.max("last").alias("last")).select("variable", "code", "last.label")
 
 
 def present_labels(labels: DataFrame, df: DataFrame) -> DataFrame:

@@ -63,12 +63,10 @@ def codes_in_use(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> D
     return coded.unpivot([], list(named.values()), "variable", "code").distinct()
 
 
-def uncovered_codes(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """Values of labelled columns that have no label; a missing value counts as uncovered."""
-    variables = [r.variable for r in labels.select("variable").distinct().collect()]
-    used = codes_in_use(df, [c for c in df.columns if c in variables])
-    known = labels.select("variable", "code").distinct()
-    return sized_join(used, known, ["variable", "code"], "left_anti")
+def uncovered_codes(df: DataFrame, labels: DataFrame, variables: Iterable[str]) -> DataFrame:
+    """Values of the labelled ``variables`` that have no label; a missing value counts as uncovered."""
+    used = codes_in_use(df, [c for c in dict.fromkeys(variables) if c in df.columns])
+    return sized_join(used, labels.select("variable", "code"), ["variable", "code"], "left_anti")
 
 
 def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from panelkit import fixed
 from panelkit.operators import quality
 from panelkit.operators.labels import LabelSource, label_table, metric_labels, present_labels
 from panelkit.operators.registry import in_latest_batch
+from panelkit.session import stage
 from panelkit.sources import sinks
 
 COVERAGE = ["category", "period_lbl", "demo_groups", "shop_code"]
@@ -52,10 +53,11 @@ def label_sources(
 
 def check(df: DataFrame, sources: Sequence[LabelSource]) -> Checks:
     """Columns without labels, codes without labels, coverage and nulls."""
-    known = [s.variable for s in sources] + list(fixed.METRIC_LABELS)
+    variables = [s.variable for s in sources]
+    labels = stage(label_table(sources), "labels")
     return Checks(
-        quality.columns_without_labels(df, known),
-        quality.uncovered_codes(df, label_table(sources)),
+        quality.columns_without_labels(df, [*variables, *fixed.METRIC_LABELS]),
+        quality.uncovered_codes(df, labels, variables),
         quality.coverage(df, COVERAGE),
         quality.null_counts(df),
     )
