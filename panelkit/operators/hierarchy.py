@@ -139,13 +139,15 @@ def level_count(nodes: DataFrame) -> int:
 
 def _padded(values: Column, width: int) -> Column:
     """The list, its last value repeated up to ``width``."""
-    return F.concat(values, F.array_repeat(F.element_at(values, -1), F.lit(width) - F.size(values)))
+    missing = F.greatest(F.lit(width) - F.size(values), F.lit(0))
+    return F.concat(values, F.array_repeat(F.element_at(values, -1), missing))
 
 
 def with_levels(nodes: DataFrame, prefix: str, width: int | None = None) -> DataFrame:
     """``<prefix>0..n`` with the labels and ``<prefix>0_code..`` with the ids of the way to the node.
 
-    Below its own depth a node stands in for itself.
+    Below its own depth a node stands in for itself. ``width`` gives the number of levels;
+    without it there are as many as the tree needs.
     """
     width = level_count(nodes) if width is None else width
     labels, codes = _padded(F.col("hiers"), width), _padded(F.col("path"), width)

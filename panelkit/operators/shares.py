@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.fixed import TOTAL_DEMO
 from panelkit.functions.columns import share
 from panelkit.operators.skew import BROADCAST_BYTES, sized_join
+from panelkit.session import stage_sized
 
 SHARES = {"value_share": "spend_local_currency", "buyers_share": "buying_households"}
 
@@ -50,12 +51,13 @@ def with_shares(
 ) -> DataFrame:
     """Each metric in per cent of the total row with the same ``keys``, null keys being equal.
 
-    The totals are few beside the facts: small enough they are broadcast and the facts
-    are not shuffled at all, else both meet by key with hot keys cut up. Reads ``df``
-    more than once, so hand in a written table rather than a long plan.
+    The totals are few beside the facts and are written first. Small enough they are
+    broadcast and the facts are not shuffled at all, else both meet by key with hot keys
+    cut up. Reads ``df`` more than once, so hand in a written table, not a long plan.
     """
     metrics = list(dict.fromkeys(shares.values()))
-    joined = sized_join(df, totals(df, keys, metrics, demo, total), keys, limit=limit)
+    side, _, measured = stage_sized(totals(df, keys, metrics, demo, total), "totals")
+    joined = sized_join(df, side, keys, limit=limit, measured=measured)
     return joined.withColumns(
         {name: share(F.col(m), F.col(f"total_{m}")) for name, m in shares.items()}
     ).drop(*[f"total_{m}" for m in metrics])

@@ -72,13 +72,14 @@ def backfill(
     metric_names = set(metric_names or metric_columns(new)) - set(metrics)
     filled = [m for m in metrics if m in new.columns]
     kept = old.drop(*filled)
-    source = new.drop(*metric_names).distinct()
+    source = new.drop(*metric_names)
     keys = sorted(set(kept.columns) & set(source.columns))
     if validate:
         require_unique(kept, keys, "old rows")
+    # Repeated rows only make the measured size larger than what would be broadcast.
     if size(source) <= limit:
-        joined = null_safe_join(kept, F.broadcast(source), keys)
+        joined = null_safe_join(kept, F.broadcast(source.distinct()), keys)
     else:
-        joined = join_hot_right(kept, source, keys, slices)
+        joined = join_hot_right(kept, source.distinct(), keys, slices)
     order = [c for c in old.columns if c in joined.columns]
     return joined.select(*order, *[c for c in joined.columns if c not in order])

@@ -72,52 +72,42 @@ def prepare(
     metrics = metrics or [m for m in fixed.OLD_METRICS if m in raw.columns]
     facts = cleaned(raw)
     products = H.with_levels(product_nodes(facts, groups, order, strict), "level_")
-    buyers = H.with_levels(buyer_nodes(facts, demo, order, strict), "demo_")
+    buyers = H.with_levels(buyer_nodes(facts, demo, order, strict), "demo_", width=2)
     product_levels = [c for c in products.columns if c.startswith("level_") and not c.endswith("_code")]
-    buyer_levels = [c for c in buyers.columns if c.startswith("demo_") and not c.endswith("_code")]
 
-    kept = [
+    named = facts.select("Category Name", "Vendor Product ID", "Product Name").distinct()
+    side = products.select(*SCOPE, "id", F.col("depth").alias("product_lvls"), *product_levels)
+    tree = H.category_tree(
+        H.attach(named, side, "Vendor Product ID", SCOPE),
+        ["Category Name", "Vendor Product ID", "Product Name", "product_lvls", *product_levels],
+    )
+
+    joined = facts.select(
         "Category Name", "Vendor Product ID", "Product Name", "Segment",
         "Buyer Group ID", "Buyer Group Name", *PERIODS, *metrics,
-    ]
-    joined = facts.select(kept).distinct()
+    ).distinct()
+    # Of the levels only the category and the demographic group stay in the facts, so no
+    # other level is attached and none has to be tested for being redundant.
     side = products.select(
         *SCOPE,
         "id",
         F.col("depth").alias("product_lvls"),
         F.col("hier").alias("product_hier"),
-        *product_levels,
-        *[f"{c}_code" for c in product_levels],
+        F.col("level_0").alias("category"),
+        F.col("level_0_code").alias("category_code"),
     )
     joined = H.attach(joined, side, "Vendor Product ID", SCOPE)
-    tree = H.category_tree(
-        joined, ["Category Name", "Vendor Product ID", "Product Name", "product_lvls", *product_levels]
-    )
     joined = strict_map(joined, "Vendor Product ID", groups, "vendor product id", "feature", "feature")
     side = buyers.select(
         *SCOPE,
         "id",
         F.col("depth").alias("demo_lvls"),
         F.col("hier").alias("demo_hier"),
-        *buyer_levels,
-        *[f"{c}_code" for c in buyer_levels],
+        F.col("demo_1").alias("socdem_gr"),
+        F.col("demo_1_code").alias("socdem_gr_code"),
     )
     joined = H.attach(joined, side, "Buyer Group ID", SCOPE)
-    joined = joined.filter(F.col("demo_lvls") != 1)
-
-    # A rename needs its level, so the first two levels are never judged redundant.
-    joined = H.drop_redundant_levels(joined, product_levels, keep=1)
-    joined = H.drop_redundant_levels(joined, buyer_levels, keep=2)
-    joined = C.rename(
-        joined,
-        {
-            "level_0_code": "category_code",
-            "level_0": "category",
-            "demo_1_code": "socdem_gr_code",
-            "demo_1": "socdem_gr",
-        },
-    )
-    result = C.drop_matching(joined, "level_", "demo_").drop("Category Name")
+    result = joined.filter(F.col("demo_lvls") != 1).drop("Category Name")
     return Prepared(result, tree, products, buyers)
 
 

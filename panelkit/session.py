@@ -12,14 +12,25 @@ from pyspark.sql.types import ArrayType, StringType
 _local_roots: dict[str, str] = {}
 
 
-def session(app: str = "panelkit", master: str | None = None, **conf) -> SparkSession:
-    """A session with the settings this package is written for."""
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def session(
+    app: str = "panelkit", master: str | None = None, input_bytes: int = 0, **conf
+) -> SparkSession:
+    """A session with the settings this package is written for.
+
+    ``input_bytes``, the size of the facts to come, sets how finely shuffles are cut at
+    first; the adaptive planner then joins small pieces.
+    """
+    pieces = max(200, input_bytes // SHUFFLE_BYTES)
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.shuffle.partitions", str(pieces))
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     if master:
