@@ -76,6 +76,19 @@ def file_category(spark, sf_dir):
     return found.select("o_orderkey", files.category_of(folder).alias("category"), folder.alias("folder"))
 
 
+@query("SELECT o_orderkey, 'status=' || o_orderstatus AS folder, true AS in_file FROM orders")
+def file_provenance(spark, sf_dir):
+    """Folder and file every row was read from."""
+    path = staging_path(spark, "by-status")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    orders.write.partitionBy("status").parquet(path)
+    found = files.deliveries(spark, path, schema="o_orderkey long", skip=None)
+    name = F.split_part("file", F.lit("/"), F.lit(2))
+    return found.select(
+        "o_orderkey", F.split_part("file", F.lit("/"), F.lit(1)).alias("folder"), name.startswith("part-").alias("in_file")
+    )
+
+
 @query(
     """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Feminine Care' WHEN 'O' THEN 'Shampoos'
       ELSE 'Laundry Detergents' END AS category,
@@ -174,6 +187,18 @@ def rename_normalise(spark, sf_dir):
     return C.rename(C.snake_headers(wide, plus=True), {"customer_key": "customer_id", "absent": "x"})
 
 
+@query("SELECT c_custkey AS customer, c_acctbal AS balance, c_name FROM customer")
+def dictionary_rename(spark, sf_dir):
+    """Columns renamed by a table of delivered and wanted names; the wanted ones come first."""
+    customer = table(spark, sf_dir, "customer")
+    legends = spark.createDataFrame(
+        [("c_custkey", "customer"), ("c_acctbal", "balance"), (None, "note")], "mask string, colum string"
+    )
+    renamed = C.rename(customer, files.metric_renames(legends))
+    wanted = files.wanted_columns(customer.selectExpr("1 AS Customer", "2 AS Balance"), extra=["c_name", "file"])
+    return C.keep_present(renamed, wanted)
+
+
 @query(
     """SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Buildings' WHEN 'MACHINERY' THEN 'Machines'
       ELSE c_mktsegment END AS c_mktsegment, lower(c_name) AS c_name FROM customer"""

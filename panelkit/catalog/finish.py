@@ -9,6 +9,7 @@ from panelkit.catalog.base import query, table
 from panelkit.catalog.basics import NEW_PERIODS_SQL, new_periods
 from panelkit.operators import quality as Q
 from panelkit.operators.labels import LabelSource, label_table, labels_in_use, metric_labels, present_labels
+from panelkit.operators.lookup import lookup, miss_counts
 from panelkit.operators.ranks import with_chunk
 from panelkit.operators.registry import attach_periods, in_latest_batch, register_periods
 from panelkit.operators.union import union_all
@@ -99,6 +100,17 @@ def null_report(spark, sf_dir):
     return Q.null_counts(_labelled_documents(spark, sf_dir))
 
 
+@query(
+    """WITH d AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))
+    SELECT 'quality' AS variable, count(*) - count(quality) AS misses FROM d
+    UNION ALL SELECT 'toxic', count(*) - count(toxic) FROM d"""
+)
+def unmatched_report(spark, sf_dir):
+    """Documents without a label, counted per looked-up column."""
+    documents = table(spark, sf_dir, "documents").select("doc_id")
+    return miss_counts(lookup(documents, table(spark, sf_dir, "labels"), ["doc_id"]), ["quality", "toxic"])
+
+
 @query(
     """WITH g AS (SELECT count(*) AS n FROM documents GROUP BY text, lang)
     SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_rows,

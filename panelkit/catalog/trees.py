@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.catalog.base import query, table
+from panelkit.functions import columns as C
 from panelkit.operators import hierarchy as H
 from panelkit.operators.ranks import with_dense_rank
 from panelkit.operators.union import union_all
+from panelkit.session import staging_path
+from panelkit.sources import sinks
 
 
 def tree_facts(spark, sf_dir):
@@ -162,4 +165,14 @@ def category_tree(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     facts = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("node", F.col("c_custkey") + 1000)
     nodes = H.with_levels(_nodes(spark, sf_dir), "level_").select("id", "level_1", "level_2")
-    return H.category_tree(H.attach(facts, nodes, "node"), ["c_mktsegment", "o_orderstatus", "level_1", "level_2"])
+    path = staging_path(spark, "category-tree")
+    attached = H.attach(facts, nodes, "node")
+    sinks.write_tree(attached, ["c_mktsegment", "o_orderstatus", "level_1", "level_2"], path)
+    return spark.read.parquet(path)
+
+
+@query(f"{WALK_SQL} SELECT id, parent, label, depth, ordinal, hier FROM nodes")
+def levels_excluded(spark, sf_dir):
+    """The tree without any of its numbered level columns."""
+    nodes = H.with_levels(_nodes(spark, sf_dir), "level_")
+    return C.drop_matching(nodes, "level_").drop("path", "hiers")

@@ -58,6 +58,7 @@ def walk(
     edges: DataFrame,
     strict: bool = True,
     scope: Sequence[str] = (),
+    validate: bool = True,
     one_task_rows: int = ONE_TASK_ROWS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -69,17 +70,20 @@ def walk(
     (``hier`` of every node on the path). The tree is walked down from the roots, one
     join per level; every level is written to the shared folder before the next.
 
-    A node no root leads to (its parent is unknown, or it lies on a cycle) fails in
+    ``validate`` checks that every id comes once. A node no root leads to (its parent is unknown, or it lies on a cycle) fails in
     strict mode and is left out otherwise; see ``unreached``.
     """
     scope = list(scope)
-    edges = stage(edges, "edges")
-    total, _, _ = require_unique(edges, [*scope, "id"], "tree")
+    edges, total, _ = stage_sized(edges, "edges")
+    if validate:
+        require_unique(edges, [*scope, "id"], "tree")
     below_root = edges.filter(F.col("id") != F.col("parent"))
     ranked = with_dense_rank(
         below_root.drop("conflict"), [*scope, "parent"], ["order"], "rank", one_task_rows, total
     )
-    children = stage(ranked.select(*scope, "id", "parent", "label", "rank"), "children")
+    children = ranked.select(*scope, "id", "parent", "label", "rank")
+    if total > one_task_rows:
+        children = stage(children, "children")
 
     label = F.trim(F.concat(F.lit("0. "), F.col("label")))
     level = roots(edges).select(

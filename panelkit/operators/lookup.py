@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.skew import BROADCAST_BYTES, null_safe_join, profile, sized_join
+from panelkit.session import side_by_side
 
 
 class RepeatedKeyError(ValueError):
@@ -22,17 +23,25 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> t
     return found
 
 
+def require_all_unique(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> dict[str, int]:
+    """Check several dictionaries in jobs that run side by side, and return their bytes."""
+    checks = [lambda d=dim, k=keys, n=name: require_unique(d, k, n)[1] for name, (dim, keys) in dims.items()]
+    return dict(zip(dims, side_by_side(*checks)))
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
     on: Sequence[str] | Mapping[str, str],
     validate: bool = True,
     limit: int = BROADCAST_BYTES,
+    measured: int | None = None,
 ) -> DataFrame:
     """Left join of a dictionary; a null key meets a null key.
 
     ``on`` names the shared key columns, or maps a column of ``df`` to one of ``dim``.
     With ``validate`` a repeated dictionary key is an error, otherwise rows fan out.
+    ``measured`` gives the bytes of a dictionary that was checked before.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     dim = dim.withColumnsRenamed({right: left for left, right in pairs.items() if left != right})
@@ -40,20 +49,21 @@ def lookup(
     twice = set(df.columns) & set(dim.columns) - set(keys)
     if twice:
         raise ValueError(f"columns on both sides of the lookup: {sorted(twice)}")
-    measured = require_unique(dim, keys, "dictionary")[1] if validate else None
+    if validate and measured is None:
+        measured = require_unique(dim, keys, "dictionary")[1]
     return sized_join(df, dim, keys, limit=limit, measured=measured)
 
 
 def soft_map(
-    df: DataFrame, column: str, dim: DataFrame, key: str, value: str, to: str, limit: int = BROADCAST_BYTES
+    df: DataFrame, column: str, dim: DataFrame, key: str, value: str, to: str, **options
 ) -> DataFrame:
     """``to`` = the dictionary's value for ``column``, null on a miss."""
     pairs = dim.select(F.col(key).alias(column), F.col(value).alias("__value"))
-    return lookup(df, pairs, [column], limit=limit).withColumn(to, F.col("__value")).drop("__value")
+    return lookup(df, pairs, [column], **options).withColumn(to, F.col("__value")).drop("__value")
 
 
 def strict_map(
-    df: DataFrame, column: str, dim: DataFrame, key: str, value: str, to: str, limit: int = BROADCAST_BYTES
+    df: DataFrame, column: str, dim: DataFrame, key: str, value: str, to: str, **options
 ) -> DataFrame:
     """Like ``soft_map``, but a value the dictionary lacks is an error.
 
@@ -62,7 +72,7 @@ def strict_map(
     pairs = dim.select(
         F.col(key).alias(column), F.col(value).alias("__value"), F.lit(True).alias("__hit")
     )
-    joined = lookup(df, pairs, [column], limit=limit)
+    joined = lookup(df, pairs, [column], **options)
     wrong = F.raise_error(F.concat(F.lit(f"{column} not in dictionary: "), F.col(column).cast("string")))
     checked = F.when(F.col("__hit").isNotNull() | F.col(column).isNull(), F.col("__value")).otherwise(wrong)
     return joined.withColumn(to, checked).drop("__value", "__hit")
@@ -77,7 +87,7 @@ def inverse_map(
     df: DataFrame, column: str, dim: DataFrame, code: str, label: str, to: str, order: str | None = None
 ) -> DataFrame:
     """``to`` = the code whose label is in ``column``, null on a miss."""
-    return soft_map(df, column, inverted(dim, code, label, order), label, code, to)
+    return soft_map(df, column, inverted(dim, code, label, order), label, code, to, validate=False)
 
 
 def adaptive_lookup(

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import rename
-from panelkit.operators.lookup import lookup, require_unique
+from panelkit.operators.lookup import lookup, require_all_unique, require_unique
 from panelkit.operators.skew import sized_join
 from panelkit.operators.union import union_all
+from panelkit.session import side_by_side
 
 
 def new_periods(labelled: DataFrame, registry: DataFrame) -> DataFrame:
@@ -23,14 +24,18 @@ def register_periods(labelled: DataFrame, registry: DataFrame, today: str) -> Da
     New periods get the codes after the highest one, ordered by year, month and duration;
     registered codes never change. The caller writes the result as a new version.
     """
-    require_unique(registry, ["period_code"], "period registry")
-    state = registry.agg(
+    last = registry.agg(
         F.coalesce(F.max("period_code"), F.lit(0)).alias("code"),
         F.coalesce(F.max("period_batch"), F.lit(0)).alias("batch"),
-    ).first()
+    )
+    _, state, added = side_by_side(
+        lambda: require_unique(registry, ["period_code"], "period registry"),
+        last.first,
+        lambda: new_periods(labelled, registry),
+    )
     # At most four durations in twelve months of each year, so one task can number them.
     number = F.row_number().over(Window.orderBy("year", "month", "duration"))
-    added = new_periods(labelled, registry).select(
+    added = added.select(
         "period_lbl",
         "label_num",
         F.lit(today).alias("date_added"),
@@ -42,8 +47,11 @@ def register_periods(labelled: DataFrame, registry: DataFrame, today: str) -> Da
 
 def attach_periods(labelled: DataFrame, registry: DataFrame, types: DataFrame) -> DataFrame:
     """Facts with the codes of their period and period type in place of the labels."""
-    coded = lookup(labelled, registry.drop("period_batch"), ["period_lbl", "label_num"])
-    coded = lookup(coded, types.select("time_period_type", "time_period_code"), ["time_period_type"])
+    by_label, by_type = ["period_lbl", "label_num"], ["time_period_type"]
+    size = require_all_unique({"periods": (registry, by_label), "period types": (types, by_type)})
+    coded = lookup(labelled, registry.drop("period_batch"), by_label, measured=size["periods"])
+    types = types.select("time_period_type", "time_period_code")
+    coded = lookup(coded, types, by_type, measured=size["period types"])
     coded = coded.drop("time_period_type", "period_lbl", "month")
     return rename(coded, {"time_period_code": "time_period_type", "period_code": "period_lbl"})
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelkit import fixed
 from panelkit.functions import columns as C
 from panelkit.functions.periods import with_new_period_labels
-from panelkit.operators.lookup import adaptive_lookup, lookup
+from panelkit.operators.lookup import adaptive_lookup, lookup, require_all_unique
 from panelkit.operators.registry import attach_periods
 from panelkit.operators.shares import with_shares
 from panelkit.operators.union import distinct_without
@@ -48,19 +48,30 @@ def coded(
     ``adaptive`` is the older product rule: by short name if all are known, else by full label.
     """
     income = df.columns
+    buyers = C.fold_case(dims.demo, "buyers_gr_label")
+    checked = {
+        "buyer groups": (buyers, ["buyers_gr_label"]),
+        "segments": (dims.segments, ["segment"]),
+        "shops": (dims.shops, ["position_name_shop"]),
+    }
+    if not adaptive:
+        checked["products"] = (dims.products, ["category name", "full_label"])
+    size = require_all_unique(checked)
+
     df = C.recode(df, "buyers_gr_label", fixed.BUYER_SPELLING)
     if adaptive:
         df = adaptive_lookup(df, dims.products, "product name", ["product name", "full_label"], ["category name"])
     else:
         products = dims.products.drop("product name")
-        df = lookup(df, products, {"category name": "category name", "product name": "full_label"})
+        on = {"category name": "category name", "product name": "full_label"}
+        df = lookup(df, products, on, measured=size["products"])
     df = C.rename(
         df, {"product_code": "products", "category_code": "category", "feature_code": "features"}
     )
     df = C.copy_codes(df, {"product_hier": "products"})
 
     df = C.fold_case(df, "buyers_gr_label")
-    df = lookup(df, C.fold_case(dims.demo, "buyers_gr_label"), ["buyers_gr_label"])
+    df = lookup(df, buyers, ["buyers_gr_label"], measured=size["buyer groups"])
     df = C.rename(df, {"demo_code": "demo_groups"})
     df = C.copy_codes(df, {"demo_hier": "demo_groups"})
 
@@ -68,10 +79,11 @@ def coded(
     detergent = F.col("category name") == fixed.DETERGENT_CATEGORY
     df = C.recode(df, "segment", fixed.DETERGENT_SEGMENT_SPELLING, detergent)
     df = C.recode(df, "segment", fixed.SEGMENT_SPELLING)
-    df = C.rename(lookup(df, dims.segments, ["segment"]), {"segment_code": "cat_segment"})
+    df = lookup(df, dims.segments, ["segment"], measured=size["segments"])
+    df = C.rename(df, {"segment_code": "cat_segment"})
 
     df = C.recode(df, "position_name_shop", fixed.SHOP_SPELLING)
-    df = lookup(df, dims.shops, ["position_name_shop"])
+    df = lookup(df, dims.shops, ["position_name_shop"], measured=size["shops"])
 
     df = C.rename(C.snake_headers(df), renames)
     return C.keep_present(df, [*wanted, "duration", "month", *income])

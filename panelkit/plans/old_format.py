@@ -15,7 +15,8 @@ from panelkit import fixed
 from panelkit.functions import columns as C
 from panelkit.functions.periods import with_date_parts, with_old_period_label
 from panelkit.operators import hierarchy as H
-from panelkit.operators.lookup import inverse_map, miss_counts, soft_map, strict_map
+from panelkit.operators.lookup import inverse_map, miss_counts, require_all_unique, soft_map, strict_map
+from panelkit.session import side_by_side
 
 # Every category has its own trees: siblings a category lacks take no rank there.
 SCOPE = ["Category Name"]
@@ -43,9 +44,10 @@ def product_nodes(facts: DataFrame, groups: DataFrame, order=None, strict: bool
     edges = H.edges_from_facts(
         facts, "Vendor Product ID", "Parent Product ID", "Product Name", order, SCOPE
     ).drop("label", "conflict")
-    edges = strict_map(edges, "id", groups, "vendor product id", "full_label", "label")
-    edges = strict_map(edges, "id", groups, "vendor product id", "product_code", "order")
-    return H.walk(edges, strict, SCOPE)
+    entry = F.struct(F.col("full_label").alias("label"), F.col("product_code").alias("order"))
+    listed = groups.select("vendor product id", entry.alias("entry"))
+    edges = strict_map(edges, "id", listed, "vendor product id", "entry", "entry")
+    return H.walk(edges.select(*SCOPE, "id", "parent", "entry.*"), strict, SCOPE, validate=False)
 
 
 def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = True) -> DataFrame:
@@ -54,7 +56,7 @@ def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = Tr
         facts, "Buyer Group ID", "Buyer Group Parent ID", "Buyer Group Name", order, SCOPE
     ).drop("conflict")
     edges = strict_map(edges, "id", demo, "buyer group id", "demo_code", "order")
-    return H.walk(edges, strict, SCOPE)
+    return H.walk(edges, strict, SCOPE, validate=False)
 
 
 def prepare(
@@ -71,8 +73,10 @@ def prepare(
     """
     metrics = metrics or [m for m in fixed.OLD_METRICS if m in raw.columns]
     facts = cleaned(raw)
-    products = H.with_levels(product_nodes(facts, groups, order, strict), "level_")
-    buyers = H.with_levels(buyer_nodes(facts, demo, order, strict), "demo_", width=2)
+    products, buyers = side_by_side(
+        lambda: H.with_levels(product_nodes(facts, groups, order, strict), "level_"),
+        lambda: H.with_levels(buyer_nodes(facts, demo, order, strict), "demo_", width=2),
+    )
     product_levels = [c for c in products.columns if c.startswith("level_") and not c.endswith("_code")]
 
     named = facts.select("Category Name", "Vendor Product ID", "Product Name").distinct()
@@ -116,12 +120,16 @@ def recode(
     periods: DataFrame, types: DataFrame,
 ) -> DataFrame:
     """Labels and ids of prepared facts as codes, metrics in thousands, national shop."""
-    df = soft_map(prepared, "Vendor Product ID", groups, "vendor product id", "product_code", "products")
+    by_product, by_buyer = ["vendor product id"], ["buyer group id"]
+    size = require_all_unique({"products": (groups, by_product), "buyer groups": (demo, by_buyer)})
+    product = (groups, "vendor product id", "product_code", "products")
+    df = soft_map(prepared, "Vendor Product ID", *product, measured=size["products"])
     df = inverse_map(df, "feature", groups, "feature_code", "feature", "features")
     df = inverse_map(df, "Segment", segments, "segment_code", "segment", "cat_segment")
     df = df.withColumn("category", C.map_value(fixed.CATEGORY_CODES, F.col("category")))
-    df = soft_map(df, "socdem_gr_code", demo, "buyer group id", "demo_code", "socdem_gr")
-    df = soft_map(df, "Buyer Group ID", demo, "buyer group id", "demo_code", "demo_groups")
+    group = (demo, "buyer group id", "demo_code")
+    df = soft_map(df, "socdem_gr_code", *group, "socdem_gr", measured=size["buyer groups"])
+    df = soft_map(df, "Buyer Group ID", *group, "demo_groups", measured=size["buyer groups"])
     df = C.copy_codes(df, {"product_hier": "products", "demo_hier": "demo_groups"})
     df = df.drop(
         "socdem_gr_code", "category_code", "Vendor Product ID", "Product Name", "feature", "Segment",

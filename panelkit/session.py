@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +99,9 @@ def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     )
     staged = stage(counted, name)
     return staged, seen.get["rows"], seen.get["bytes"]
+
+
+def side_by_side(*steps: Callable) -> list:
+    """Results of independent steps, whose Spark jobs share the cluster instead of queueing."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [result.result() for result in [pool.submit(step) for step in steps]]
