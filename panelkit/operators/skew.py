@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelkit.session import row_bytes
 
-SLICES = 2000
+SLICES = 20_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
