@@ -13,7 +13,7 @@ from panelkit.fixed import CATEGORY_CODES
 from panelkit.functions.columns import map_value
 from panelkit.operators.union import union_all
 from panelkit.plans.new_format import Dictionaries
-from panelkit.session import stage
+from panelkit.session import side_by_side, stage
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 CATEGORIES = [
@@ -197,7 +197,8 @@ def dictionaries(base):
         F.when(F.col("shop_code") == 1, "National").otherwise("Shops").alias("channel_type"),
     )
     types = base.agg(F.lit("MAT/ 52 we").alias("time_period_type"), F.lit(2).alias("time_period_code"))
-    return Dictionaries(stage(products, "products"), demo, segments, shops, types)
+    tables = zip(Dictionaries._fields, (products, demo, segments, shops, types))
+    return Dictionaries(*side_by_side(*[lambda t=t, n=n: stage(t, n) for n, t in tables]))
 
 
 def first_registry(base):

@@ -8,7 +8,7 @@ from panelkit.catalog import panel
 from panelkit.catalog.base import CENTS_SQL, query
 from panelkit.operators.registry import register_periods
 from panelkit.plans import export, merged, new_format, old_format
-from panelkit.session import stage, staging_path
+from panelkit.session import side_by_side, stage, staging_path
 
 RENAMES = {"buying_hh": "buying_households"}
 DIMENSIONS = [
@@ -111,9 +111,14 @@ OLD_CODED_SQL = """old_coded AS (SELECT f.k AS category, CAST(10000000 - pid AS
       FROM facts f JOIN periods USING (y))"""
 
 
-def _registered(base):
+def _delivered(base):
+    """New-format deliveries, written as files are delivered: registry and facts both read them."""
+    return stage(panel.new_raw(base), "new-raw")
+
+
+def _registered(base, raw):
     """The registry grown by the periods of the new deliveries."""
-    labelled = new_format.labelled(panel.new_raw(base))
+    labelled = new_format.labelled(raw)
     return stage(register_periods(labelled, panel.first_registry(base), "2024-06-01"), "registry")
 
 
@@ -125,8 +130,8 @@ def _recoded(base, dims, registry):
 @query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL} SELECT * FROM old_coded")
 def old_format_recoded(spark, sf_dir):
     """Old-format facts as codes, metrics in thousands."""
-    base = panel.cells(spark, sf_dir)
-    return _recoded(base, panel.dictionaries(base), _registered(base))
+    base, dims, _, registry = _inputs(spark, sf_dir)
+    return _recoded(base, dims, registry)
 
 
 @query(
@@ -140,10 +145,9 @@ def old_format_recoded(spark, sf_dir):
 )
 def old_format_misses(spark, sf_dir):
     """Rows without a code when the segment dictionary lacks one category."""
-    base = panel.cells(spark, sf_dir)
-    dims = panel.dictionaries(base)
+    base, dims, _, registry = _inputs(spark, sf_dir)
     dims = dims._replace(segments=dims.segments.filter("segment_code <> 6"))
-    return old_format.recode_misses(_recoded(base, dims, _registered(base)))
+    return old_format.recode_misses(_recoded(base, dims, registry))
 
 
 NEW_SQL = """new_rows AS (
@@ -175,15 +179,22 @@ def shared_sql(rows: str, keys: str) -> str:
 NEW_KEYS = "products, shop_code, period_lbl, file"
 
 
-def _processed(base, dims, registry):
-    return new_format.process(panel.new_raw(base), dims, registry, RENAMES, WANTED)
+def _inputs(spark, sf_dir):
+    """Cells, dictionaries, new-format deliveries and the registry that knows their periods."""
+    base = panel.cells(spark, sf_dir)
+    dims, raw = side_by_side(lambda: panel.dictionaries(base), lambda: _delivered(base))
+    return base, dims, raw, _registered(base, raw)
+
+
+def _processed(raw, dims, registry):
+    return new_format.process(raw, dims, registry, RENAMES, WANTED)
 
 
 @query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {NEW_SQL} {shared_sql('new_coded', NEW_KEYS)}")
 def new_format_processed(spark, sf_dir):
     """New-format deliveries coded, cleaned of repeated files and given shares."""
-    base = panel.cells(spark, sf_dir)
-    return _processed(base, panel.dictionaries(base), _registered(base))
+    _, dims, raw, registry = _inputs(spark, sf_dir)
+    return _processed(raw, dims, registry)
 
 
 MERGED_SQL = f"""WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL}, {NEW_SQL},
@@ -199,10 +210,11 @@ MERGED_SQL = f"""WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL}, {NEW_SQL},
 @query(f"{MERGED_SQL} {shared_sql('united', 'products, cat_segment, shop_code, period_lbl')}")
 def merged_old_and_new(spark, sf_dir):
     """Old facts with volumes taken from the new ones, then the new facts the old lack."""
-    base = panel.cells(spark, sf_dir)
-    dims, registry = panel.dictionaries(base), _registered(base)
-    old = stage(_recoded(base, dims, registry), "old")
-    new = stage(_processed(base, dims, registry).drop("file", "value_share", "buyers_share"), "new")
+    base, dims, raw, registry = _inputs(spark, sf_dir)
+    old, new = side_by_side(
+        lambda: stage(_recoded(base, dims, registry), "old"),
+        lambda: stage(_processed(raw, dims, registry).drop("file", "value_share", "buyers_share"), "new"),
+    )
     return merged.merge(old, new)
 
 
@@ -219,10 +231,9 @@ def _sources(base, dims, registry):
 )
 def exported_latest_batch(spark, sf_dir):
     """The latest period batch exported in chunks of 500 rows with its label sidecar."""
-    base = panel.cells(spark, sf_dir)
-    dims, registry = panel.dictionaries(base), _registered(base)
+    base, dims, raw, registry = _inputs(spark, sf_dir)
     path = staging_path(spark, "export")
-    df = stage(_processed(base, dims, registry), "processed")
+    df = stage(_processed(raw, dims, registry), "processed")
     export.export(df, _sources(base, dims, registry), path, 500, registry)
     written = spark.read.parquet(f"{path}/data")
     per_file = written.groupBy("category", F.col("_metadata.file_path").alias("f")).count()
@@ -237,9 +248,8 @@ def exported_latest_batch(spark, sf_dir):
 )
 def export_coverage(spark, sf_dir):
     """The coverage table of an export whose codes all have labels."""
-    base = panel.cells(spark, sf_dir)
-    dims, registry = panel.dictionaries(base), _registered(base)
-    df = stage(_processed(base, dims, registry), "processed")
+    base, dims, raw, registry = _inputs(spark, sf_dir)
+    df = stage(_processed(raw, dims, registry), "processed")
     checks = export.check(df, _sources(base, dims, registry))
     if checks.unlabelled_columns != ["file"] or not checks.uncovered.isEmpty():
         raise ValueError("an export column or code has no label")

@@ -9,7 +9,7 @@ from panelkit.functions import columns as C
 from panelkit.operators import hierarchy as H
 from panelkit.operators.ranks import with_dense_rank
 from panelkit.operators.union import union_all
-from panelkit.session import staging_path
+from panelkit.session import stage, staging_path
 from panelkit.sources import sinks
 
 
@@ -79,7 +79,7 @@ def tree_edges_from_facts(spark, sf_dir):
     WHERE id = parent OR id NOT IN (SELECT parent FROM edges)"""
 )
 def tree_roots_and_leaves(spark, sf_dir):
-    edges = H.edges_from_facts(tree_facts(spark, sf_dir), "node", "parent", "label")
+    edges = stage(H.edges_from_facts(tree_facts(spark, sf_dir), "node", "parent", "label"), "edges")
     marked = [
         H.roots(edges).select("id", F.lit(True).alias("is_root")),
         H.leaves(edges).select("id", F.lit(False).alias("is_root")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.columns import metric_columns
@@ -28,6 +28,11 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.select(*(columns or df.columns)).distinct()
 
 
+def content_hash(columns: Sequence[str]) -> Column:
+    """A first grouping key that lets a sort-based aggregation compare one number, not all columns."""
+    return F.xxhash64(*columns).alias("__hash")
+
+
 def distinct_without(df: DataFrame, provenance: str = "file") -> DataFrame:
     """One row per content, from the first file in name order.
 
@@ -35,7 +40,8 @@ def distinct_without(df: DataFrame, provenance: str = "file") -> DataFrame:
     very many copies is no hot group.
     """
     content = [c for c in df.columns if c != provenance]
-    return df.groupBy(*content).agg(F.min(provenance).alias(provenance)).select(df.columns)
+    first = df.groupBy(content_hash(content), *content).agg(F.min(provenance).alias(provenance))
+    return first.select(df.columns)
 
 
 def first_by_priority(
@@ -51,7 +57,7 @@ def first_by_priority(
     names = [c for c in ranked.columns if c != "__priority"]
     metrics = [c for c in (metrics or metric_columns(ranked)) if c in names]
     keys = [c for c in names if c not in metrics]
-    best = ranked.groupBy(*keys).agg(F.min(F.struct("__priority", *metrics)).alias("__best"))
+    best = ranked.groupBy(content_hash(keys), *keys).agg(F.min(F.struct("__priority", *metrics)).alias("__best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in names])
 
 
