@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import langid, line_dedup, near_dedup, packing, quality, topk, toxicity
+from panelkit.llm import ctw, hilbert, langid, line_dedup, near_dedup, packing, quality, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,8 +76,21 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op8_space_filling_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each query's 5 nearest embeddings by cosine, as far as the curves find them."""
+    rows = read(spark, sf_dir, "embeddings")
+    return hilbert.neighbours(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 @query()
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens, with the checksum of their ids."""
     pieces = packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op10_context_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the context tree, and under smoothed unigrams."""
+    return ctw.score(read(spark, sf_dir, "documents"))
