@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import ctw, hilbert, langid, line_dedup, near_dedup, packing, quality, topk, toxicity
+from panelkit.llm import ctw, hilbert, langid, line_dedup, near_dedup, packing, pieces, quality, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,6 +70,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "dropped_lines", F.length("text").cast("long").alias("kept_chars"), "text")
 
 
+@query()
+def op6_sentencepiece_n_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document, as checksums of their ids, and whether they decode to the text."""
+    return pieces.digests(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query()
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document."""
