@@ -25,6 +25,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 BLOCK = 1 << 20
 N_BEST = 4
+#: Characters beyond which a word is treated by itself.
+LONG = 48
 
 
 def _codes(points: np.ndarray) -> np.ndarray:
@@ -93,21 +95,43 @@ def lattice(word: str, vocabulary: Vocabulary) -> Lattice:
 
 
 def n_best(word: str, vocabulary: Vocabulary, n: int) -> list[tuple[float, list[int]]]:
-    """The ``n`` best segmentations (score, ids) by backward A*; equal scores in the order of their ids from the end."""
+    """The ``n`` best segmentations (score, ids) by backward A*; of equal ones the first found comes first.
+
+    An entry of the agenda is the score it can still reach, a serial number, its place, its score so
+    far, and the pieces behind it as a chain.
+    """
     graph = lattice(word, vocabulary)
-    agenda = [(-graph.best[-1], (), len(word), 0.0)]
-    found = []
+    agenda = [(-graph.best[-1], 0, len(word), 0.0, None)]
+    found, serial = [], 0
     while agenda and len(found) < n:
-        _, tail, at, score = heapq.heappop(agenda)
+        _, _, at, score, tail = heapq.heappop(agenda)
         if at == 0:
-            found.append((score, list(reversed(tail))))
+            ids = []
+            while tail:
+                ids += tail[0]
+                tail = tail[1]
+            found.append((score, ids))
             continue
-        for start, ids, gain in graph.ends[at]:
+        for start, ids, gain in reversed(graph.ends[at]):
             after = score + gain
-            heapq.heappush(agenda, (-(after + graph.best[start]), (*tail, *reversed(ids)), start, after))
+            serial -= 1  # what was left last is gone on with first
+            heapq.heappush(agenda, (-(after + graph.best[start]), serial, start, after, (ids, tail)))
     return found
 
 
+def one_best(word: str, vocabulary: Vocabulary) -> tuple[float, float, list[int]]:
+    """Score, cheapest detour and ids of the best segmentation of one word, as ``viterbi`` finds them for many."""
+    graph = lattice(word, vocabulary)
+    at, extra, parts = len(word), float("inf"), []
+    while at:
+        ranked = sorted(((graph.best[i] + s, i, ids) for i, ids, s in graph.ends[at]), key=lambda e: (-e[0], -e[1]))
+        if len(ranked) > 1:
+            extra = min(extra, ranked[0][0] - ranked[1][0])
+        _, at, ids = ranked[0]
+        parts.append(ids)
+    return graph.best[-1], extra, [i for ids in reversed(parts) for i in ids]
+
+
 def viterbi(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary):
     """Best scores, best pieces and cheapest detour of many words at once.
 
@@ -202,8 +226,7 @@ class Segmenter:
         joined, points, starts, ends, doc = self._words(texts)
         key = span_hashes(running_hash(_codes(points)), starts, ends)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
-        score, extra, counts, ids = viterbi(points, starts[first], ends[first], self.vocabulary)
-        begin = np.cumsum(counts) - counts
+        score, extra, counts, begin, ids = self._distinct(joined, points, starts[first], ends[first])
         per = counts[which]
         flat = ids[np.repeat(begin[which], per) + ragged(per)]
         total = np.bincount(doc, score[which], len(texts))
@@ -223,6 +246,21 @@ class Segmenter:
             out.append(self._combined(total[d], here, cuts, extra[which[a:b]], starts[a:b], ends[a:b], joined))
         return out
 
+    def _distinct(self, joined, points, starts, ends):
+        """Viterbi over distinct words: short ones all at once, long ones one by one."""
+        n = len(starts)
+        score, extra, counts, begin = np.zeros(n), np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        short = np.flatnonzero(ends - starts <= LONG)
+        score[short], extra[short], counts[short], ids = viterbi(points, starts[short], ends[short], self.vocabulary)
+        begin[short] = np.cumsum(counts[short]) - counts[short]
+        flat, size = [ids], len(ids)
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            score[i], extra[i], own = one_best(joined[starts[i] : ends[i]], self.vocabulary)
+            counts[i], begin[i] = len(own), size
+            flat.append(np.array(own, np.int64))
+            size += len(own)
+        return score, extra, counts, begin, np.concatenate(flat)
+
     def _spelled(self, ids, cuts, joined):
         """Characters without a piece become their byte pieces."""
         parts = [[i] if i >= 0 else self.vocabulary.spell(joined[-1 - i]) for i in ids.tolist()]
