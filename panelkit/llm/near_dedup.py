@@ -13,7 +13,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import (
@@ -34,6 +34,8 @@ SIMILARITY = 0.8
 BANDS = 48
 ROWS = 7
 BLOCK = 1 << 19
+HUBS = 16
+PAIRS = 128
 EMPTY = np.uint64(2**64 - 1)
 
 # Darts in a cell of area 1: Poisson(1), by 16 bits of the cell's hash.
@@ -189,9 +191,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     smallest digest decides), and null ids have no class. Extra columns are ignored.
 
     A pair at the threshold shares no band with probability (1 - s^rows)^bands, about 1e-5.
-    Within a band bucket no pairs are listed while it is large: the member with most company is
+    Within a band bucket no pairs are listed while there are many: the member with most company is
     compared with all members of other classes, classes are joined, and what is still split goes
-    on with the next such member. Only when the open pairs are fewer than four per document are they listed.
+    on with the next ``HUBS`` such members. Once the pairs between different classes that were not
+    compared are at most ``PAIRS`` per document over all bands, each such pair is compared once, so no link is lost.
     """
     sketch = stage(sketches(docs, bands, rows), "near-sketch")
     none = F.col("words") == 0
@@ -201,7 +204,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     nodes = groups.where("not text.none").select(F.col("node").alias("doc_id"), "text")
     mine = sketch.where("words > 0").select("doc_id", identity.alias("text"), "keys", "shingles")
     chosen = mine.select("doc_id", "text", "keys").join(nodes, ["doc_id", "text"]).dropDuplicates(["doc_id"])
-    banded = stage(chosen.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key")), "near-bands")
+    chosen = stage(chosen.select(F.col("doc_id").alias("id"), "keys"), "near-keys")
+    banded = chosen.select("id", F.posexplode("keys").alias("band", "key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stage(banded.join(sizes, "key"), "near-members")
     people = members.groupBy("id").agg(F.sum("n").alias("company"))
@@ -209,43 +213,54 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         mine.select(F.col("doc_id").alias("id"), "shingles", "text").join(nodes.select(F.col("doc_id").alias("id"), "text"), ["id", "text"]).join(people, "id").select("id", "shingles").dropDuplicates(["id"]),
         "near-sets",
     )
-    count = groups.count()
-    linked = None
-    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "id", "company", F.col("id").alias("label"), F.lit(False).alias("used")), "near-state")
+    marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
+    bound = PAIRS * groups.count()
+    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used")), "near-state")
+    labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
+    hubs = 1
     while open_rows:
-        split = state.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.when(~F.col("used"), 1)).alias("n"), F.max(F.when(~F.col("used"), F.struct("company", (-F.col("id")).alias("m"), "label"))).alias("hub"))
-        open_ = stage(split.where("lo <> hi and n > 0"), "near-open")
-        cost = open_.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0
-        last = cost <= 4 * count
+        labelled = stage(state.join(labels, "id"), "near-labelled")
+        per_label = labelled.groupBy("key", "label").agg(F.count(F.when(~F.col("used"), 1)).alias("n"), F.count(F.lit(1)).alias("all"))
+        split = per_label.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+        # a bucket is done when the pairs between its classes all have a member that was compared with everyone
+        open_ = stage(split.select("key", ((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs")).where("classes > 1 and pairs > 0"), "near-open")
+        cost = open_.agg(F.sum("pairs")).first()[0] or 0
+        if not cost:
+            break
+        last = cost <= bound
+        rest = labelled.join(open_.select("key"), "key")
+        free = rest.where(~F.col("used"))
+        if last:
+            chosen = free
+        else:
+            by_company = Window.partitionBy("key").orderBy(F.desc("company"), "id")
+            chosen = free.withColumn("place", F.row_number().over(by_company)).where(F.col("place") <= hubs)
+            hubs = HUBS
+        chosen = stage(chosen.select("key", F.col("id").alias("hub"), F.col("label").alias("hub_label")), "near-hubs")
         if last:
-            rest = state.join(open_.select("key"), "key")
-            a = rest.where(~F.col("used")).select("key", F.col("id").alias("a"), F.col("label").alias("la"))
-            b = rest.where(~F.col("used")).select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-            pairs = a.join(b, "key").where("a < b and la <> lb").select("a", "b")
+            # a pair that shares an earlier band is left to that one
+            signs = marked.select("id", "keys")
+            mine = free.join(signs, "id")
+            chosen = chosen.join(signs.select(F.col("id").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
+            first_band = ~F.arrays_overlap(F.slice("keys", 1, F.col("band")), "hub_keys")
+            pairs = mine.join(chosen, (mine["key"] == chosen["key"]) & (F.col("id") < F.col("hub")) & (F.col("label") != F.col("hub_label")) & first_band)
+            pairs = pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))
         else:
-            hub = open_.select("key", (-F.col("hub.m")).alias("a"), F.col("hub.label").alias("la"))
-            pairs = state.join(hub, "key").where("label <> la").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
+            pairs = rest.join(chosen, "key").where("label <> hub_label").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
         held = member_sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         other = member_sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         tested = pairs.distinct().join(held, "a").join(other, "b").select("a", "b", "sa", "sb")
         links = stage(tested.mapInArrow(_verify(similarity), "a bigint, b bigint"), "near-links")
-        linked = links if linked is None else linked.unionByName(links)
+        ends = [labels.select(F.col("id").alias(x), F.col("label").alias("l" + x)) for x in "ab"]
+        joined = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), "near-roots")
+        labels = stage(labels.join(joined.select(F.col("id").alias("label"), "root"), "label", "left").select("id", F.coalesce("root", "label").alias("label")), "near-labels")
         if last:
             break
-        roots = components(linked, "near-roots").withColumnRenamed("root", "joined")
-        used = hub.select("key", F.col("a").alias("id"), F.lit(True).alias("now"))
+        used = chosen.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
         state, open_rows, _ = stage_sized(
-            state.join(open_.select("key"), "key")
-            .join(roots, "id", "left")
-            .join(used, ["key", "id"], "left")
-            .select("key", "id", "company", F.coalesce("joined", "label").alias("label"), (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
+            rest.join(used, ["key", "id"], "left").select("key", "band", "id", "company", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
             "near-state",
         )
-    classes = groups
-    if linked is not None:
-        roots = components(linked, "near-roots")
-        classes = groups.join(roots.withColumnRenamed("id", "node"), "node", "left")
-    else:
-        classes = groups.withColumn("root", F.lit(None).cast("long"))
-    classes = classes.select("text", F.coalesce("root", "node").alias("class_id"), "copies")
+    classes = groups.join(labels.withColumnRenamed("id", "node"), "node", "left")
+    classes = classes.select("text", F.coalesce("label", "node").alias("class_id"), "copies")
     return ids.join(classes, "text").select("doc_id", "class_id", "copies")
