@@ -13,8 +13,9 @@ from panelkit.session import side_by_side
 
 
 def new_periods(labelled: DataFrame, registry: DataFrame) -> DataFrame:
-    """Distinct periods whose display label the registry lacks."""
-    seen = labelled.select("duration", "year", "month", "period_lbl", "label_num").distinct()
+    """Distinct periods whose display label the registry lacks; a period without label is none."""
+    named = labelled.filter(F.col("period_lbl").isNotNull() & F.col("label_num").isNotNull())
+    seen = named.select("duration", "year", "month", "period_lbl", "label_num").distinct()
     return sized_join(seen, registry.select("period_lbl").distinct(), ["period_lbl"], "left_anti")
 
 

@@ -111,7 +111,8 @@ def prepare(
         F.col("demo_1_code").alias("socdem_gr_code"),
     )
     joined = H.attach(joined, side, "Buyer Group ID", SCOPE)
-    result = joined.filter(F.col("demo_lvls") != 1).drop("Category Name")
+    # a buyer group that no root reaches has no depth; its facts stay
+    result = joined.filter(F.col("demo_lvls").isNull() | (F.col("demo_lvls") != 1)).drop("Category Name")
     return Prepared(result, tree, products, buyers)
 
 

@@ -9,12 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType
 
 _local_roots: dict[str, str] = {}
 
 
-SHUFFLE_BYTES = 128 * 1024 * 1024
+# Bytes a shuffle partition is to hold: tens of thousands of partitions at 100 TB; it may spill.
+SHUFFLE_BYTES = 2 * 1024**3
 
 
 def session(
@@ -23,7 +24,7 @@ def session(
     """A session with the settings this package is written for.
 
     ``input_bytes``, the size of the facts to come, sets how finely shuffles are cut at
-    first; the adaptive planner then joins small pieces.
+    first; the adaptive planner then joins small pieces. Scans are cut more coarsely for large facts.
     """
     pieces = max(200, input_bytes // SHUFFLE_BYTES)
     builder = (
@@ -34,6 +35,7 @@ def session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(pieces))
         .config("spark.sql.parquet.compression.codec", "zstd")
+        .config("spark.sql.files.maxPartitionBytes", str(min(1024**3, max(128 * 1024**2, input_bytes // 100_000))))
     )
     if master:
         builder = builder.master(master)
@@ -80,17 +82,28 @@ def row_bytes(df: DataFrame) -> Column:
     """Rough in-memory size of a row."""
     size = F.lit(16)
     for field in df.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, StringType):
-            size = size + 8 + F.coalesce(F.octet_length(column), F.lit(0))
-        elif isinstance(field.dataType, ArrayType):
-            text = F.array_join(column.cast("array<string>"), " ")
-            size = size + 16 + 8 * F.size(column) + F.coalesce(F.octet_length(text), F.lit(0))
-        else:
-            size = size + 8
+        size = size + _value_bytes(F.col(f"`{field.name}`"), field.dataType)
     return size.cast("long")
 
 
+def _value_bytes(column: Column, kind: DataType) -> Column:
+    """Rough size of one value; nested values count with all they hold."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return 8 + F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, ArrayType):
+        inner = F.aggregate(column, F.lit(0).cast("long"), lambda n, x: n + _value_bytes(x, kind.elementType))
+        return 16 + F.coalesce(inner, F.lit(0))
+    if isinstance(kind, MapType):
+        keys, values = ArrayType(kind.keyType), ArrayType(kind.valueType)
+        return _value_bytes(F.map_keys(column), keys) + _value_bytes(F.map_values(column), values)
+    if isinstance(kind, StructType):
+        size = F.lit(16)
+        for field in kind:
+            size = size + _value_bytes(column.getField(field.name), field.dataType)
+        return size
+    return F.lit(16 if isinstance(kind, DecimalType) and kind.precision > 18 else 8)
+
+
 def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     """``stage``, and the rows and bytes of the table, counted by the write itself."""
     seen = Observation(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,8 +92,8 @@ def base_name(path: Column) -> Column:
 
 
 def dictionary(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """A dictionary table (parquet, or CSV if the name says so) with lower-case headers."""
-    if ".csv" in path:
+    """A dictionary table (parquet, or CSV if the file name ends so) with lower-case headers."""
+    if re.search(r"\.csv(\.\w+)?/?$", path):
         reader = spark.read.option("header", True)
         reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
         return lower_headers(reader.csv(path))
