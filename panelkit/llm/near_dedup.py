@@ -181,6 +181,34 @@ def _verify(similarity: float):
     return run
 
 
+def _elements(batches):
+    for batch in batches:
+        ids, sets = batch.column(0).to_numpy(), batch.column(1)
+        sizes = np.array([len(x.as_buffer()) // 4 for x in sets], np.int64)
+        first = 0
+        while first < len(sizes):
+            end = max(first + 1, int(np.searchsorted(np.cumsum(sizes[first:]), BLOCK, side="right")) + first)
+            value = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in sets.slice(first, end - first)])
+            owner = np.repeat(np.arange(first, end), sizes[first:end])
+            new = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1]))) if len(value) else np.zeros(0, np.int64)
+            weight = np.diff(np.append(new, len(value))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[owner[new]]), pa.array(value[new].view(np.int32)), pa.array(weight)], names=["id", "shingle", "weight"])
+            first = end
+
+
+def shared_weights(sets: DataFrame) -> DataFrame:
+    """(id, size, common) of texts (id, shingles): ``common`` leaves out the shingles that no other of the texts has.
+
+    The intersection of two of these texts is at most the smaller ``common``. Counts are combined in every
+    task before the shuffle, so a shingle of all texts is no hot key.
+    """
+    each = sets.select("id", "shingles").mapInArrow(_elements, "id bigint, shingle int, weight int")
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min("weight").alias("weight")).where("n = 1")
+    alone = alone.groupBy("id").agg(F.sum("weight").alias("alone"))
+    sized = sets.select("id", F.floor(F.octet_length("shingles") / 4).alias("size"))
+    return sized.join(alone, "id", "left").select("id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, copies) for every distinct non-null doc_id: class_id is the smallest doc_id of its class.
 
@@ -193,7 +221,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     A pair at the threshold shares no band with probability (1 - s^rows)^bands, about 1e-5.
     Within a band bucket no pairs are listed while there are many: the member with most company is
     compared with all members of other classes, classes are joined, and what is still split goes
-    on with the next ``HUBS`` such members. Once the pairs between different classes that were not
+    on with the next ``HUBS`` such members. After the first round, pairs (and texts) whose shingles
+    found in any other text still in question are too few for ``similarity`` are left out, which loses no link. Once the pairs between different classes that were not
     compared are at most ``PAIRS`` per document over all bands, each such pair is compared once, so no link is lost.
     """
     sketch = stage(sketches(docs, bands, rows), "near-sketch")
@@ -215,9 +244,12 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     )
     marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
     bound = PAIRS * groups.count()
-    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used")), "near-state")
+    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
     labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
-    hubs = 1
+    # an intersection c is enough for the similarity s of sizes a and b if c (1 + s) >= s (a + b)
+    enough = lambda c, sizes: c * (1 + similarity) + 1e-6 >= sizes * similarity
+    fits = enough(F.least("common", "hub_common"), F.col("size") + F.col("hub_size"))
+    hubs, weighed = 1, False
     while open_rows:
         labelled = stage(state.join(labels, "id"), "near-labelled")
         per_label = labelled.groupBy("key", "label").agg(F.count(F.when(~F.col("used"), 1)).alias("n"), F.count(F.lit(1)).alias("all"))
@@ -227,8 +259,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         cost = open_.agg(F.sum("pairs")).first()[0] or 0
         if not cost:
             break
-        last = cost <= bound
         rest = labelled.join(open_.select("key"), "key")
+        if hubs > 1 and not weighed:
+            weighed = True
+            weights = shared_weights(member_sets.join(rest.select("id").distinct(), "id"))
+            able = weights.where(enough(F.col("common"), F.col("size") * (1 + similarity)))
+            state, open_rows, _ = stage_sized(rest.drop("size", "common", "label").join(able, "id"), "near-state")
+            continue
+        last = cost <= bound
         free = rest.where(~F.col("used"))
         if last:
             chosen = free
@@ -236,17 +274,17 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
             by_company = Window.partitionBy("key").orderBy(F.desc("company"), "id")
             chosen = free.withColumn("place", F.row_number().over(by_company)).where(F.col("place") <= hubs)
             hubs = HUBS
-        chosen = stage(chosen.select("key", F.col("id").alias("hub"), F.col("label").alias("hub_label")), "near-hubs")
+        chosen = stage(chosen.select("key", *[F.col(c).alias("hub" if c == "id" else f"hub_{c}") for c in ("id", "label", "size", "common")]), "near-hubs")
         if last:
             # a pair that shares an earlier band is left to that one
             signs = marked.select("id", "keys")
             mine = free.join(signs, "id")
             chosen = chosen.join(signs.select(F.col("id").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
             first_band = ~F.arrays_overlap(F.slice("keys", 1, F.col("band")), "hub_keys")
-            pairs = mine.join(chosen, (mine["key"] == chosen["key"]) & (F.col("id") < F.col("hub")) & (F.col("label") != F.col("hub_label")) & first_band)
+            pairs = mine.join(chosen, (mine["key"] == chosen["key"]) & (F.col("id") < F.col("hub")) & (F.col("label") != F.col("hub_label")) & fits & first_band)
             pairs = pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))
         else:
-            pairs = rest.join(chosen, "key").where("label <> hub_label").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+            pairs = rest.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & fits).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
         held = member_sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         other = member_sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         tested = pairs.distinct().join(held, "a").join(other, "b").select("a", "b", "sa", "sb")
@@ -258,7 +296,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
             break
         used = chosen.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
         state, open_rows, _ = stage_sized(
-            rest.join(used, ["key", "id"], "left").select("key", "band", "id", "company", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
+            rest.join(used, ["key", "id"], "left").select("key", "band", "id", "company", "size", "common", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
             "near-state",
         )
     classes = groups.join(labels.withColumnRenamed("id", "node"), "node", "left")
