@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.catalog.base import query, table
 from panelkit.operators import lookup as L
+from panelkit.operators.skew import hot_keys
 
 
 @query("SELECT c_custkey, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -94,6 +95,27 @@ def large_dictionary_lookup(spark, sf_dir):
     return _composite(spark, sf_dir, limit=0)
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, p_type, s_name, ps_count, o_orderdate FROM lineitem
+    LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN orders ON l_orderkey = o_orderkey
+    LEFT JOIN (SELECT l_partkey, l_suppkey, count(*) AS ps_count FROM lineitem GROUP BY ALL) USING (l_partkey, l_suppkey)"""
+)
+def large_lookup_chain(spark, sf_dir):
+    """Four lookups without broadcast; the hot keys of all are found on the facts before the first."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    pairs = lines.groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("ps_count"))
+    steps = [(part, ["l_partkey"]), (supplier, ["l_suppkey"]), (orders, ["l_orderkey"]), (pairs, ["l_partkey", "l_suppkey"])]
+    hot = [hot_keys(lines, keys) for _, keys in steps]
+    found = lines
+    for (dim, keys), keys_hot in zip(steps, hot, strict=True):
+        found = L.lookup(found, dim, keys, limit=0, hot=keys_hot)
+    return found.drop("l_partkey", "l_suppkey")
+
+
 @query(
     """SELECT p.p_partkey, d.code FROM part p
     LEFT JOIN (SELECT p_type, p_brand || '/' || p_name AS full_label, min(p_partkey) AS code FROM part GROUP BY 1, 2) d

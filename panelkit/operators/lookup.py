@@ -36,12 +36,14 @@ def lookup(
     validate: bool = True,
     limit: int = BROADCAST_BYTES,
     measured: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a dictionary; a null key meets a null key.
 
     ``on`` names the shared key columns, or maps a column of ``df`` to one of ``dim``.
     With ``validate`` a repeated dictionary key is an error, otherwise rows fan out.
-    ``measured`` gives the bytes of a dictionary that was checked before.
+    ``measured`` gives the bytes of a dictionary that was checked before, ``hot`` the hot keys of
+    ``df`` (``skew.hot_keys``) that were found before a chain of lookups.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     dim = dim.withColumnsRenamed({right: left for left, right in pairs.items() if left != right})
@@ -51,7 +53,7 @@ def lookup(
         raise ValueError(f"columns on both sides of the lookup: {sorted(twice)}")
     if validate and measured is None:
         measured = require_unique(dim, keys, "dictionary")[1]
-    return sized_join(df, dim, keys, limit=limit, measured=measured)
+    return sized_join(df, dim, keys, limit=limit, measured=measured, hot=hot)
 
 
 def soft_map(

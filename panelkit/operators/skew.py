@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.session import row_bytes
+from panelkit.session import row_bytes, stage
 
 SLICES = 20_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -54,15 +54,17 @@ def spread(df: DataFrame) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> DataFrame:
-    """Keys with more than ``1/slices`` of the rows, and the pieces to cut each into."""
+    """Keys with more than ``1/slices`` of the rows, and the pieces to cut each into.
+
+    Found at once and written, so that a join names its input only once and the plan of a chain of
+    joins grows by one join at a time. Keys of the untouched facts, found before such a chain and
+    handed to each join, spare running the earlier joins for the counts of the later ones.
+    """
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
     total = counts.agg(F.sum("__rows").alias("__total")).scalar()
     pieces = F.ceil(F.col("__rows") * slices / total).cast("int")
-    return (
-        counts.filter(F.col("__rows") * slices > total)
-        .withColumn("__pieces", pieces)
-        .drop("__rows")
-    )
+    hot = counts.filter(F.col("__rows") * slices > total).withColumn("__pieces", pieces)
+    return stage(hot.drop("__rows"), "hot-keys")
 
 
 def _cut(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -80,10 +82,15 @@ def _copy(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def join_hot_left(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", slices: int = SLICES
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    slices: int = SLICES,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Left or inner join when the left side repeats keys."""
-    hot = hot_keys(left, keys, slices)
+    """Left or inner join when the left side repeats keys; ``hot`` are its ``hot_keys`` if known."""
+    hot = hot_keys(left, keys, slices) if hot is None else hot
     copies = _copy(right, hot, keys).drop("__pieces")
     joined = null_safe_join(_cut(left, hot, keys), copies, [*keys, "__piece"], how)
     return joined.drop("__piece")
@@ -111,13 +118,14 @@ def sized_join(
     how: str = "left",
     limit: int = BROADCAST_BYTES,
     measured: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast ``side`` if its measured bytes allow, else join with hot keys cut up."""
     if (size(side) if measured is None else measured) <= limit:
         return null_safe_join(df, F.broadcast(side), keys, how)
     if how in ("left_semi", "left_anti"):
         marked = side.select(*keys).distinct().withColumn("__hit", F.lit(True))
-        joined = join_hot_left(df, marked, keys)
+        joined = join_hot_left(df, marked, keys, hot=hot)
         hit = F.col("__hit").isNotNull()
         return joined.filter(hit if how == "left_semi" else ~hit).drop("__hit")
-    return join_hot_left(df, side, keys, how)
+    return join_hot_left(df, side, keys, how, hot=hot)
