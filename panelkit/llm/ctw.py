@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import LOWER, Finder, held_out, running_hash, span_hashes, spans, text_blocks
 from panelkit.session import stage
 
-DEPTH = 4
+DEPTH = 5
 BLOCK = 40 << 20
 WORD, GRAM = 0, 1
 BLANK = np.zeros(256, bool)
