@@ -1,7 +1,7 @@
 """Language-model scoring by context-tree weighting over bytes.
 
 Every byte is eight binary decisions, and every decision has a tree of contexts: the 0, 1, .. DEPTH
-bytes before it. Zeros and ones are counted in the training texts at every node; a node's
+bytes before it. A ninth decision before each byte says whether the text ends there (``ends``). Zeros and ones are counted in the training texts at every node; a node's
 Krichevsky-Trofimov estimate is weighted with what its children achieve, which mixes the
 estimates of all depths. The counts, the weights and the code lengths are tables that grow with the corpus and
 are made by grouping and joining; nothing is broadcast.
@@ -13,6 +13,7 @@ that the joins carry each of them once a block and not once a position.
 from __future__ import annotations
 
 import math
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from panelkit.session import stage
 DEPTH = 5
 BLOCK = 40 << 20
 WORD, GRAM = 0, 1
+#: Marks a gram whose last place is the end of the text instead of a byte.
+END = 1 << 56
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -43,6 +46,15 @@ def grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> np.ndarr
     return out
 
 
+def end_grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """For every text the number made of its last ``depth`` bytes and its end; zero bytes stand before a text."""
+    size, out = np.diff(offsets), np.full(len(offsets) - 1, END, np.uint64)
+    for back in range(1, depth + 1):
+        far = np.flatnonzero(size >= back)
+        out[far] |= data[offsets[1:][far] - back].astype(np.uint64) << np.uint64(8 * back)
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text) of every word of lower-cased text: runs of other bytes than ASCII white space."""
     start, end, doc = spans(~BLANK[data], offsets)
@@ -75,7 +87,7 @@ def _blocked(limit: int):
     return run
 
 
-def _ask(batches):
+def _ask(batches, ends: bool = False):
     """The distinct words and contexts of each block with their counts; a block that two tasks read is told twice."""
 
     def told(block, found):
@@ -99,7 +111,10 @@ def _ask(batches):
             for first, end, data, offsets in text_blocks(batch.column(2).slice(begin, stop - begin)):
                 low, taught = LOWER[data], learns[first:end]
                 key, doc = words(low, offsets)
-                for kind, parts in ((WORD, _counted(key, taught[doc])), (GRAM, _counted(grams(low, offsets), np.repeat(taught, np.diff(offsets))))):
+                asked = [(WORD, _counted(key, taught[doc])), (GRAM, _counted(grams(low, offsets), np.repeat(taught, np.diff(offsets))))]
+                if ends:
+                    asked.append((GRAM, _counted(end_grams(low, offsets), taught)))
+                for kind, parts in asked:
                     for to, what in zip(found[kind], parts, strict=True):
                         to.append(what)
     if found:
@@ -121,9 +136,17 @@ def kt(zeros: Column, ones: Column) -> Column:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def _bits() -> Column:
-    """The eight decisions of byte ``c``: decision node (a one and the bits so far) and bit."""
-    return F.explode(F.expr("transform(sequence(0, 7), k -> struct(cast(shiftright(c | 256, 8 - k) as int) AS m, cast(shiftright(c, 7 - k) & 1 as int) AS bit))"))
+def _bits(ends: bool) -> str:
+    """The eight decisions of the last byte of ``gram``: decision node (a one and the bits so far) and bit. With ``ends`` node 0 comes first: a one if the text ends."""
+    byte = "transform(sequence(0, 7), k -> struct(cast(shiftright((gram & 255) | 256, 8 - k) as int) AS m, cast(shiftright(gram & 255, 7 - k) & 1 as int) AS bit))"
+    if ends:
+        byte = f"CASE WHEN gram >= {END} THEN array(struct(0 AS m, 1 AS bit)) ELSE concat(array(struct(0 AS m, 0 AS bit)), {byte}) END"
+    return byte
+
+
+def _context() -> Column:
+    """The bytes before the last place of ``gram``."""
+    return F.shiftright(F.col("gram").bitwiseAND(END - 1), 8)
 
 
 def _without_last(context: str, depth: int) -> Column:
@@ -131,62 +154,68 @@ def _without_last(context: str, depth: int) -> Column:
     return F.col(context).bitwiseAND((1 << (8 * (depth - 1))) - 1)
 
 
-def context_tree(counts: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """The weighted tree of (gram, n), a table per depth with (x, m, p1): context, decision node, chance of a one.
+def context_tree(counts: DataFrame, depth: int = DEPTH, ends: bool = False) -> list[DataFrame]:
+    """The weighted tree of (gram, n), a table per depth with (x, m, p1): context, decision node, chance of a one. The deepest is not written; read it once.
 
     ``p1`` mixes the estimates of all depths down to this one; a context seen no deeper stops here.
     """
-    deep = counts.select(F.shiftright("gram", 8).alias("x"), F.col("gram").bitwiseAND(255).alias("c"), "n").select("x", "n", _bits().alias("b"))
+    deep = counts.select(_context().alias("x"), "n", F.explode(F.expr(_bits(ends))).alias("b"))
     zero = F.sum(F.when(F.col("b.bit") == 0, F.col("n")).otherwise(0))
     one = F.sum(F.when(F.col("b.bit") == 1, F.col("n")).otherwise(0))
     level = deep.groupBy("x", F.col("b.m").alias("m")).agg(zero.alias("zeros"), one.alias("ones"))
-    level = stage(level.withColumn("estimate", kt(F.col("zeros").cast("double"), F.col("ones").cast("double"))).withColumn("weighted", F.col("estimate")), "ctw-up")
+    estimate = kt(F.col("zeros").cast("double"), F.col("ones").cast("double"))
+    level = stage(level.withColumn("weighted", estimate), "ctw-up")
     levels = {depth: level}
     for d in range(depth - 1, -1, -1):
         up = levels[d + 1].groupBy(_without_last("x", d + 1).alias("x"), "m").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
-        up = up.withColumn("estimate", kt(F.col("zeros").cast("double"), F.col("ones").cast("double")))
+        up = up.withColumn("estimate", estimate)
         top, low = F.greatest("estimate", "below"), F.least("estimate", "below")
-        levels[d] = stage(up.withColumn("weighted", top + F.log1p(F.exp(low - top)) - math.log(2)), "ctw-up")
+        levels[d] = stage(up.withColumn("weighted", top + F.log1p(F.exp(low - top)) - math.log(2)).drop("estimate", "below"), "ctw-up")
     found = []
     above = None
     for d in range(depth + 1):
         here = levels[d].withColumn("own", (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0))
-        here = here.withColumn("share", F.lit(1.0) if d == depth else F.exp(F.col("estimate") - math.log(2) - F.col("weighted")))
+        here = here.withColumn("share", F.lit(1.0) if d == depth else F.exp(estimate - math.log(2) - F.col("weighted")))
         if above is None:
             here = here.withColumn("mixed", F.lit(0.0)).withColumn("left", F.lit(1.0))
         else:
             here = here.withColumn("up", _without_last("x", d)).join(above, ["up", "m"]).drop("up")
         here = here.select("x", "m", "own", "share", "mixed", "left")
-        table = stage(here.select("x", "m", (F.col("mixed") + F.col("left") * F.col("own")).alias("p1"), (F.col("mixed") + F.col("left") * F.col("share") * F.col("own")).alias("mixed"), (F.col("left") * (1 - F.col("share"))).alias("left")), "ctw-down")
+        p1 = (F.col("mixed") + F.col("left") * F.col("own")).alias("p1")
+        if d == depth:
+            found.append(here.select("x", "m", p1))
+            break
+        table = stage(here.select("x", "m", p1, (F.col("mixed") + F.col("left") * F.col("share") * F.col("own")).alias("mixed"), (F.col("left") * (1 - F.col("share"))).alias("left")), "ctw-down")
         found.append(table.select("x", "m", "p1"))
         above = table.select(F.col("x").alias("up"), "m", "mixed", "left")
     return found
 
 
-def code_lengths(asked: DataFrame, counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, value): log10 probability of the last byte of each distinct ``asked`` gram after the bytes before it.
+def code_lengths(asked: DataFrame, counts: DataFrame, depth: int = DEPTH, ends: bool = False) -> DataFrame:
+    """(gram, value): log10 probability of the last byte (or of the end) of each distinct ``asked`` gram after the bytes before it.
 
     A decision never seen in a context is taken from the longest shorter context that saw it; one never
     seen at all has probability one half.
     """
-    tree = context_tree(counts, depth)
-    rows = asked.select("gram", F.shiftright("gram", 8).alias("x"), F.col("gram").bitwiseAND(255).alias("c")).select("gram", "x", _bits().alias("b"))
-    rows = rows.select("gram", "x", F.col("b.m").alias("m"), F.col("b.bit").alias("bit"))
-    deep = tree[depth]
-    met = stage(rows.join(deep, ["x", "m"], "left"), "ctw-met")
-    result = met.where("p1 is not null").select("gram", "bit", "p1")
-    open_ = met.where("p1 is null").drop("p1")
-    for d in range(depth - 1, -1, -1):
-        open_ = open_.withColumn("x", _without_last("x", d + 1))
-        met = stage(open_.join(tree[d], ["x", "m"], "left"), "ctw-met")
-        result = result.unionByName(met.where("p1 is not null").select("gram", "bit", "p1"))
-        open_ = met.where("p1 is null").drop("p1")
-    result = result.unionByName(open_.select("gram", "bit", F.lit(0.5).alias("p1")))
-    chance = F.when(F.col("bit") == 1, F.col("p1")).otherwise(1 - F.col("p1"))
-    return result.groupBy("gram").agg(F.sum(F.log10(chance)).alias("value"))
-
-
-def _score(unknown: float):
+    tree = context_tree(counts, depth, ends)
+    # a gram asks a context once for all its decisions; only those not met there go on to a shorter one
+    steps = _bits(ends)
+    open_ = asked.select("gram", F.lit(None).cast("array<double>").alias("p"))
+    value = f"CASE WHEN forall(p, x -> x IS NOT NULL) THEN aggregate(zip_with({steps}, p, (s, x) -> log10(IF(s.bit = 1, x, 1 - x))), 0D, (a, b) -> a + b) END"
+    values = []
+    for d in range(depth, -1, -1):
+        nodes = tree[d].groupBy("x").agg(F.map_from_entries(F.collect_list(F.struct("m", "p1"))).alias("nodes"))
+        met = open_.withColumn("x", _context().bitwiseAND((1 << (8 * d)) - 1)).join(nodes, "x", "left")
+        met = met.select("gram", F.expr(f"transform({steps}, (s, i) -> coalesce(p[i], try_element_at(nodes, s.m)))").alias("p"))
+        met = met.withColumn("value", F.expr(value))
+        met = stage(met.select("gram", "value", F.when(F.col("value").isNull(), F.col("p")).alias("p")), "ctw-met")
+        values.append(met.where("value is not null").select("gram", "value"))
+        open_ = met.where("value is null").select("gram", "p")
+    never = open_.withColumn("p", F.expr("transform(p, x -> coalesce(x, 0.5D))"))
+    return reduce(DataFrame.unionByName, [*values, never.select("gram", F.expr(value).alias("value"))])
+
+
+def _score(unknown: float, ends: bool):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         kind = answers.column("kind").to_numpy()
         key = answers.column("key").to_numpy().view(np.uint64)
@@ -212,7 +241,13 @@ def _score(unknown: float):
             if len(where) and where.min() < 0:
                 raise ValueError("a context of this block has no code length")
             upto = np.append(0, np.cumsum(sets[GRAM][1][where] if len(where) else []))
-            out["score"].append(upto[offsets[1:]] - upto[offsets[:-1]])
+            total = upto[offsets[1:]] - upto[offsets[:-1]]
+            if ends:
+                where = sets[GRAM][0].find(end_grams(low, offsets))
+                if len(where) and where.min() < 0:
+                    raise ValueError("an end of this block has no code length")
+                total = total + sets[GRAM][1][where]
+            out["score"].append(total)
         columns = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
         return pa.Table.from_arrays(
             [texts.column("doc_id"), texts.column("held_out"), *(pa.array(columns[k], t) for k, t in (("n_words", pa.int64()), ("n_seen", pa.int64()), ("base", pa.float64()), ("score", pa.float64())))],
@@ -222,38 +257,39 @@ def _score(unknown: float):
     return run
 
 
-def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK) -> DataFrame:
+def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK, ends: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and code_bits_per_byte of every row.
 
     Learned from the rows outside the held-out fold. ``base_score`` is that of a smoothed unigram over
-    lower-cased words and one end per text; ``score`` the log10 probability of the bytes of the lower-cased text.
-    A null text is an empty one, with the end as its only token and score 0. Rows that repeat
+    lower-cased words and one end per text; ``score`` the log10 probability of the bytes of the lower-cased text,
+    with ``ends`` also of no end before each byte and of the end after the last, so that the texts' probabilities sum to one.
+    A null text is an empty one, with the end as its only token (score 0 without ``ends``). Rows that repeat
     count and are scored each for itself; null ids are learned from; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(n, rest).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = stage(rows.mapInArrow(_blocked(block_bytes), "block bigint, doc_id bigint, held_out boolean, text string"), "ctw-texts")
-    asked = stage(texts.select("block", "held_out", "text").mapInArrow(_ask, "block bigint, kind int, key bigint, known bigint, total bigint"), "ctw-asked")
-    ends = texts.agg(F.count(F.when(~F.col("held_out"), 1))).first()[0]
+    asked = stage(texts.select("block", "held_out", "text").mapInArrow(partial(_ask, ends=ends), "block bigint, kind int, key bigint, known bigint, total bigint"), "ctw-asked")
+    taught = texts.agg(F.count(F.when(~F.col("held_out"), 1))).first()[0]
     counted = stage(asked.groupBy("kind", "key").agg(F.sum("known").alias("known"), F.sum("total").alias("total")), "ctw-counted")
     totals = counted.where(f"kind = {WORD} and known > 0").agg(F.sum("known"), F.count(F.lit(1))).first()
-    tokens, distinct = (totals[0] or 0) + ends, totals[1] + (1 if ends else 0)
+    tokens, distinct = (totals[0] or 0) + taught, totals[1] + (1 if taught else 0)
     whole = counted.where(f"kind = {GRAM}").select(F.col("key").alias("gram"), F.col("known").alias("n"))
-    lengths = code_lengths(whole.select("gram"), whole.where("n > 0")).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "value")
+    lengths = code_lengths(whole.select("gram"), whole.where("n > 0"), ends=ends).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "value")
     often = counted.where(f"kind = {WORD} and total > 1").select("kind", "key", F.col("known").cast("double").alias("value"))
     values = often.unionByName(lengths)
     answers = asked.select("block", "kind", "key").join(values, ["kind", "key"])
     unknown = -math.log10(tokens + distinct + 1)
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(unknown), "doc_id bigint, held_out boolean, n_words bigint, n_seen bigint, base double, score double"
+        _score(unknown, ends), "doc_id bigint, held_out boolean, n_words bigint, n_seen bigint, base double, score double"
     )
-    end_known = F.lit(1 if ends else 0)
+    end_known = F.lit(1 if taught else 0)
     return scored.select(
         "doc_id",
         "held_out",
         (F.col("n_words") + 1).alias("n_tokens"),
         (F.col("n_seen") + end_known).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + math.log10(ends + 1) + unknown).alias("base_score"),
+        (F.col("base") + math.log10(taught + 1) + unknown).alias("base_score"),
         "score",
     )
 

@@ -14,3 +14,13 @@ def test_context_tree_reaches_five_bytes(spark):
     rows = [(i, ("abbbba" if i % 2 else "cbbbbc") * 30, "en", "s", 1) for i in range(60)]
     found = {r.doc_id: r.score for r in ctw.score(spark.createDataFrame(rows, DOCS)).collect()}
     assert ctw.DEPTH >= 5 and all(-s * math.log2(10) < 12 for s in found.values())
+
+
+def test_context_tree_codes_the_end(spark):
+    rows = [(i, "ab", "en", "s", 1) for i in range(40)] + [(100, None, "en", "s", 1), (101, "", "en", "s", 1), (None, "b", "en", "s", 1)]
+    table = spark.createDataFrame(rows, DOCS)
+    bytes_, whole = ({r.doc_id: r.score for r in ctw.score(table, ends=e).collect()} for e in (False, True))
+    assert bytes_[100] == bytes_[101] == 0 and whole[100] == whole[101] < -1  # an empty text is improbable, not certain
+    assert all(whole[d] < bytes_[d] for d in whole)
+    # the probabilities of all texts sum to one at most
+    assert 10 ** whole[0] + 10 ** whole[100] + 10 ** whole[None] <= 1 < 10 ** bytes_[0] + 10 ** bytes_[100]
