@@ -18,12 +18,18 @@ from panelkit.operators.skew import sized_join
 from panelkit.session import stage, stage_sized
 
 MIN_WORDS = 30
+#: White space of any script, a letter of a script without blanks, and all other signs, as Java's regular expressions name them.
+SPACE = r"\p{IsWhite_Space}"
+_UNSPACED = "Han Hiragana Katakana Bopomofo Yi Thai Lao Khmer Myanmar Tibetan Tai_Le New_Tai_Lue Tai_Tham Tai_Viet Javanese Balinese"
+LETTER = "[\\p{L}&&[" + "".join(rf"\p{{Is{x}}}" for x in _UNSPACED.split()) + "]]"
+OTHER = f"[^{SPACE}{LETTER}]"
 
 
 def line_table(docs: DataFrame) -> DataFrame:
     """(d1, d2, pos, h1, h2, words) of every line. d1, d2 identify a document by its id and its text.
 
-    A line id is two hashes of the line without outer blanks; its words are the blanks inside, and one.
+    A line id is two hashes of the line without outer blanks. Its words are runs without white space, with
+    every letter of a script written without blanks a word of its own; a line without words counts as one.
     """
     text = F.col("text").cast("string")
     lines = docs.where(text.isNotNull()).select(
@@ -32,7 +38,9 @@ def line_table(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     )
     line = F.btrim("line", F.lit(" \t\r"))
-    words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    # each word, with the white space around it, becomes one sign
+    signs = F.length(F.regexp_replace(line, rf"{SPACE}*(?:{LETTER}\p{{M}}*|{OTHER}+){SPACE}*", "x"))
+    words = F.when(line.rlike(r"[^\p{IsWhite_Space}]"), signs).otherwise(1)
     return lines.select("d1", "d2", "pos", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line).alias("h2"), words.alias("words"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from panelkit.llm import ctw
+from panelkit.llm import ctw, line_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -24,3 +24,15 @@ def test_context_tree_codes_the_end(spark):
     assert all(whole[d] < bytes_[d] for d in whole)
     # the probabilities of all texts sum to one at most
     assert 10 ** whole[0] + 10 ** whole[100] + 10 ** whole[None] <= 1 < 10 ** bytes_[0] + 10 ** bytes_[100]
+
+
+def test_lines_without_blanks_are_long(spark):
+    chinese = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽"
+    tabbed, spaced = "\t".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    padded = "only" + " " * 60 + "two"
+    rows = [(i, "\n".join([f"own {i}", line, f"end {i}"]), "en", "s", 1) for i, line in enumerate([chinese, chinese, tabbed, tabbed, spaced, spaced, padded, padded])]
+    found = {r.doc_id: r.dropped_lines for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS)).collect()}
+    assert found == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0, 5: 1, 6: 0, 7: 0}
+    lines = ["", "a", "a  b\tc", "日本語 abc", "ภาษาไทย", " 　", "x" * 50]
+    words = line_dedup.line_table(spark.createDataFrame([(1, "\n".join(lines), "en", "s", 1)], DOCS)).orderBy("pos").collect()
+    assert [r.words for r in words] == [1, 1, 3, 4, 7, 1, 1]
