@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import langid, line_dedup, near_dedup, packing, toxicity
+from panelkit.llm.common import held_out
 from panelkit.llm.queries import tokenizer_path
 from panelkit.session import stage
 
@@ -24,9 +25,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which the network finds a language with a mean probability of one half or more."""
-    found = langid.predict(docs, langid.fit(docs))
-    return found.where("lang_pred <> 'und' and score >= 0.5").select(*COLUMNS)
+    """Documents with letters in which the network finds a language about as surely as where it is known to be right.
+
+    The bound is the lowest score of a rightly predicted document of the held-out fold; without such there
+    is none. A document predicted as it is labelled stays whatever its score.
+    """
+    rows = langid.predict(docs, langid.fit(docs)).withColumn("held_out", held_out(5, 0))
+    found = stage(rows, "language-found")
+    right = F.coalesce(F.col("lang_pred") == F.col("lang"), F.lit(False))
+    least = found.where(right & F.col("held_out") & (F.col("lang_pred") != "und")).agg(F.min("score")).first()[0] or 0.0
+    return found.where((F.col("lang_pred") != "und") & (right | (F.col("score") >= least))).select(*COLUMNS)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import random
 
-from panelkit.llm import ctw, line_dedup
+import corpus_pipeline
+from panelkit.llm import ctw, langid, line_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -36,3 +38,18 @@ def test_lines_without_blanks_are_long(spark):
     lines = ["", "a", "a  b\tc", "日本語 abc", "ภาษาไทย", " 　", "x" * 50]
     words = line_dedup.line_table(spark.createDataFrame([(1, "\n".join(lines), "en", "s", 1)], DOCS)).orderBy("pos").collect()
     assert [r.words for r in words] == [1, 1, 3, 4, 7, 1, 1]
+
+
+def test_rightly_predicted_documents_stay(spark):
+    rnd = random.Random(4)
+    part = lambda signs, n: "".join(rnd.choice(signs) for _ in range(n))
+    signs = {"aa": "abcde ", "mm": "mnopq ", "zz": "vwxyz "}
+    # a clean text in three languages, the first of them only just the longest
+    rows = [(i, part(signs[lang], 90), lang, "s", 90) for i in range(300) for lang in [("aa", "mm", "zz")[i % 3]]]
+    rows += [(1000 + i, part(signs["aa"], 192) + part(signs["mm"], 128) + part(signs["zz"], 128), "aa", "s", 448) for i in range(20)]
+    table = spark.createDataFrame([*rows, (2000, "12 34", "aa", "s", 5)], DOCS)
+    found = {r.doc_id: r for r in langid.language(table).collect()}
+    right = {d for d, _, lang, _, _ in rows if found[d].lang_pred == lang}
+    assert any(found[d].score < 0.5 for d in right)
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, table, "").collect()}
+    assert right <= kept and 2000 not in kept
