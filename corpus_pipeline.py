@@ -45,9 +45,20 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, that of the smallest id; rows without id stay."""
-    later = near_dedup.near_classes(docs).where("doc_id <> class_id").select("doc_id")
-    return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each class of near copies, that of the smallest id; rows without id come last.
+
+    Every distinct pair of id and text is compared under a 64-bit number of its own, and equal pairs are
+    one row (the smallest of their other columns stays).
+    """
+    text = F.col("text").cast("string")
+    number = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), text.isNull(), text)
+    numbered = docs.withColumn("number", number)
+    classes = stage(near_dedup.near_classes(numbered.select(F.col("number").alias("doc_id"), "text")), "corpus-classes")
+    ids = numbered.groupBy("number").agg(F.min("doc_id").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "number")
+    first = classes.select(F.col("doc_id").alias("number"), "class_id").join(ids, "number").groupBy("class_id").agg(F.min(order).alias("first"))
+    rows = numbered.groupBy("number").agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("row"))
+    return rows.join(first.select(F.col("first.number").alias("number")), "number").select("row.*").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

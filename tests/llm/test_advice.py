@@ -53,3 +53,11 @@ def test_rightly_predicted_documents_stay(spark):
     assert any(found[d].score < 0.5 for d in right)
     kept = {r.doc_id for r in corpus_pipeline.known_language(spark, table, "").collect()}
     assert right <= kept and 2000 not in kept
+
+
+def test_one_row_of_each_class(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(80)) for k in "abc")
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (3, c), (3, a), (None, c), (4, None), (4, None)]
+    table = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS)
+    kept = corpus_pipeline.one_of_each(spark, table, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (None, b), (3, c), (4, None)], key=str)
