@@ -1,11 +1,11 @@
-"""Line deduplication by a suffix array over line ids, built with distributed prefix doubling.
+"""Line deduplication by ranks of line-id prefixes, made with distributed prefix doubling.
 
-Only lines that occur more than once can belong to a repeated run, so the array covers just
+Only lines that occur more than once can belong to a repeated run, so the ranks cover just
 them. Round by round the rank of a suffix by its first 1, 2, 4, .. lines is made from two ranks of
 half the length. Two suffixes share m lines exactly if their ranks of h lines are equal at both
-ends of the stretch (h the power of two at or below m): neighbours in the array that do so form an
-interval of the longest-common-prefix array. Every interval of enough words is a repeated run;
-all its places but the first in the corpus are deleted.
+ends of the stretch (h the power of two at or below m). Windows just long enough that agree so
+stand in for the intervals of a longest-common-prefix array, which is not built: full suffixes are
+not ordered. Of every repeated window all places but the first in the corpus are deleted.
 """
 
 from __future__ import annotations
