@@ -100,9 +100,12 @@ def accumulate(terms, ends, rows, weights, n, q_terms, q_ends, q_rows, q_weights
 
 
 def best(scores: np.ndarray, ids: np.ndarray, q_ids: np.ndarray, k: int):
-    """(query number, candidate number, score) of each query's k best, ties to the smaller id, never itself."""
+    """(query number, candidate number, score) of each query's k best, ties to the smaller id, never itself; rows of one id are one candidate with their best score."""
     order = np.argsort(ids, kind="stable")
     scores, ids = scores[order], ids[order]
+    ids, first = np.unique(ids, return_index=True)
+    if len(first) < len(scores):
+        scores = np.maximum.reduceat(scores, first, axis=0)
     own = ids[:, None] == q_ids[None, :]
     k = min(k + int(own.sum(0).max(initial=0)), len(ids))
     if k < len(ids):

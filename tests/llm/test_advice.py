@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from panelkit.llm import ctw, langid, line_dedup
+from panelkit.llm import ctw, langid, line_dedup, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -61,3 +63,9 @@ def test_one_row_of_each_class(spark):
     table = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS)
     kept = corpus_pipeline.one_of_each(spark, table, "").collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (None, b), (3, c), (4, None)], key=str)
+
+
+def test_repeated_candidates_take_one_place():
+    scores = np.array([[9], [9], [9], [8], [5], [4], [7]], np.float32)
+    q, ids, value = topk.best(scores, np.array([1, 1, 1, 1, 2, 3, 3]), np.array([50]), 3)
+    assert ids.tolist() == [1, 3, 2] and value.tolist() == [9, 7, 5] and q.tolist() == [0, 0, 0]
