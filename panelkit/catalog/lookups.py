@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelkit.catalog.base import query, table
 from panelkit.operators import lookup as L
-from panelkit.operators.skew import hot_keys
+from panelkit.operators.skew import HotKeys
 
 
 @query("SELECT c_custkey, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey")
@@ -109,10 +109,10 @@ def large_lookup_chain(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     pairs = lines.groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("ps_count"))
     steps = [(part, ["l_partkey"]), (supplier, ["l_suppkey"]), (orders, ["l_orderkey"]), (pairs, ["l_partkey", "l_suppkey"])]
-    hot = [hot_keys(lines, keys) for _, keys in steps]
+    hot = HotKeys(lines, *[keys for _, keys in steps])
     found = lines
-    for (dim, keys), keys_hot in zip(steps, hot, strict=True):
-        found = L.lookup(found, dim, keys, limit=0, hot=keys_hot)
+    for dim, keys in steps:
+        found = L.lookup(found, dim, keys, limit=0, hot=hot)
     return found.drop("l_partkey", "l_suppkey")
 
 

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelkit.operators.lookup import lookup, require_unique
 from panelkit.operators.ranks import ONE_TASK_ROWS, with_dense_rank
 from panelkit.operators.skew import BROADCAST_BYTES, sized_join
-from panelkit.session import stage, stage_sized
+from panelkit.operators.union import union_all
+from panelkit.session import row_bytes, side_by_side, stage, stage_sized
 
 
 class BrokenTreeError(ValueError):
@@ -58,78 +58,114 @@ def walk(
     edges: DataFrame,
     strict: bool = True,
     scope: Sequence[str] = (),
-    validate: bool = True,
     one_task_rows: int = ONE_TASK_ROWS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every node with the way to it from its root.
 
     ``edges`` holds id, parent, label and ``order``, the dictionary order of siblings, and
-    the ``scope`` columns that tell trees apart. Returns the scope, id, parent, label, depth, ``path`` (ids, root first), ``ordinal`` (sibling
-    ranks as ``1.2.``, empty for a root), ``hier`` (ordinal and label) and ``hiers``
-    (``hier`` of every node on the path). The tree is walked down from the roots, one
-    join per level; every level is written to the shared folder before the next.
+    the ``scope`` columns that tell trees apart; every id comes once. Returns the scope, id, parent, label, depth,
+    ``path`` (ids, root first), ``ordinal`` (sibling ranks as ``1.2.``, empty for a root), ``hier`` (ordinal and label)
+    and ``hiers`` (``hier`` of every node on the path).
 
-    ``validate`` checks that every id comes once. A node no root leads to (its parent is unknown, or it lies on a cycle) fails in
+    The ways of the inner nodes are found by pointer doubling (see ``_inner_ways``), so that a tree of depth d
+    takes log2(d) joins of inner nodes, and one more that hangs all other nodes below them.
+
+    A node no root leads to (its parent is unknown, or it lies on or below a cycle) fails in
     strict mode and is left out otherwise; see ``unreached``.
     """
     scope = list(scope)
-    edges, total, _ = stage_sized(edges, "edges")
-    if validate:
-        require_unique(edges, [*scope, "id"], "tree")
-    below_root = edges.filter(F.col("id") != F.col("parent"))
-    ranked = with_dense_rank(
-        below_root.drop("conflict"), [*scope, "parent"], ["order"], "rank", one_task_rows, total
-    )
-    children = ranked.select(*scope, "id", "parent", "label", "rank")
+    edges, total, edge_bytes = stage_sized(edges, "edges")
+    below_root = edges.filter(F.col("id") != F.col("parent")).drop("conflict")
+    ranked = with_dense_rank(below_root, [*scope, "parent"], ["order"], "rank", one_task_rows, total)
+    top = roots(edges).withColumn("rank", F.lit(0).cast("long"))
+    ranked = union_all([top.drop("conflict"), ranked]).select(*scope, "id", "parent", "label", "rank")
     if total > one_task_rows:
-        children = stage(children, "children")
-
-    label = F.trim(F.concat(F.lit("0. "), F.col("label")))
-    level = roots(edges).select(
-        *scope,
-        "id",
-        "parent",
-        "label",
-        F.lit(0).alias("depth"),
-        F.array("id").alias("path"),
-        F.lit("").alias("ordinal"),
-        label.alias("hier"),
-        F.array(label).alias("hiers"),
+        ranked = stage(ranked, "ranked")
+    own = F.struct("id", "rank", "label")
+    above = F.when(F.col("id") != F.col("parent"), F.col("parent"))
+    ranked = ranked.withColumn("way", F.array(own)).withColumn("up", above)
+
+    parents = below_root.select(*scope, F.col("parent").alias("id")).distinct()
+    inner = sized_join(ranked, parents, [*scope, "id"], "left_semi", limit, edge_bytes)
+    rounds = 2 if total <= one_task_rows else 1
+    _, (inner, measured) = side_by_side(
+        lambda: require_unique(edges, [*scope, "id"], "tree"), lambda: _inner_ways(inner, scope, limit, 8 * edge_bytes, rounds)
     )
-    levels, reached = [], 0
-    while True:
-        level, rows, measured = stage_sized(level, f"level-{len(levels)}")
-        levels.append(level)
-        reached += rows
-        if not rows or reached == total:
-            break
-        above = level.select(
-            *scope, F.col("id").alias("parent"), "depth", "path", F.col("ordinal").alias("above"), "hiers"
-        )
-        below = sized_join(children, above, [*scope, "parent"], "inner", limit, measured)
-        ordinal = F.concat("above", F.col("rank").cast("string"), F.lit("."))
-        below = below.withColumn("ordinal", ordinal).withColumn(
-            "hier", F.trim(F.concat("ordinal", F.lit("0. "), F.col("label")))
-        )
-        level = below.select(
-            *scope,
-            "id",
-            "parent",
-            "label",
-            (F.col("depth") + 1).alias("depth"),
-            F.concat("path", F.array("id")).alias("path"),
-            "ordinal",
-            "hier",
-            F.concat("hiers", F.array("hier")).alias("hiers"),
-        )
-    nodes = reduce(DataFrame.unionByName, levels)
+    inner = inner.select(*scope, F.col("id").alias("parent"), F.col("way").alias("above"))
+    hung = sized_join(ranked.filter("up is not null"), inner, [*scope, "parent"], "inner", limit, measured)
+    ways = union_all([ranked.filter("up is null"), hung.withColumn("way", F.concat("above", "way")).drop("above")])
+    nodes, reached, _ = stage_sized(_labelled(ways, scope), "nodes")
     if strict and reached < total:
         some = [row.id for row in unreached(edges, nodes, scope).select("id").take(5)]
         raise BrokenTreeError(f"no root leads to {total - reached} nodes, {some} among them")
     return nodes
 
 
+def _inner_ways(inner: DataFrame, scope: Sequence[str], limit: int, measured: int, rounds: int) -> tuple[DataFrame, int]:
+    """The nodes that have children with the whole ``way`` from the root, and the bytes of that table.
+
+    Every node knows the last 1, 2, 4, .. nodes of its way and the node above them (``up``), and takes over what that
+    node knows, until ``up`` is null. Finished nodes are not joined again. A node that finds itself above itself
+    lies on a cycle and goes, as do nodes whose ``up`` is gone.
+
+    ``measured`` bounds the bytes of ``inner`` with one-node ways; the table is written after every ``rounds`` doublings.
+    """
+    columns = [*scope, "id", "way", "up"]
+
+    def doubled(waiting, done, bytes_):
+        known = union_all([*done, waiting]).select(
+            *scope, F.col("id").alias("up"), F.col("way").alias("above"), F.col("up").alias("next")
+        )
+        joined = sized_join(waiting.filter("up is not null"), known, [*scope, "up"], "inner", limit, bytes_)
+        joined = joined.filter(~F.exists("above", lambda node: node["id"] == F.col("id")))
+        longer = joined.withColumn("way", F.concat("above", "way")).withColumn("up", F.col("next"))
+        return longer.select(*columns)
+
+    latest, done, done_bytes, open_, step = inner.select(*columns), [], 0, 1, 0
+    while open_:
+        for number in range(rounds):
+            finished = latest.filter("up is null")
+            latest, done = doubled(latest, [*done], done_bytes + measured * 2**number), [*done, finished]
+        step += 1
+        seen = Observation(f"ways-{step}")
+        # what this write finishes is one table, so that plans stay short
+        fresh = union_all([*done[-rounds:], latest])
+        fresh = fresh.observe(
+            seen,
+            F.count_if(F.col("up").isNotNull()).alias("open"),
+            F.coalesce(F.sum(row_bytes(fresh)), F.lit(0)).alias("bytes"),
+        )
+        fresh = stage(fresh, f"ways-{step}")
+        open_, measured = seen.get["open"], seen.get["bytes"]
+        done = [*done[:-rounds], fresh.filter("up is null")]
+        done_bytes, latest = done_bytes + measured, fresh.filter("up is not null")
+    return union_all(done).select(*scope, "id", "way"), done_bytes
+
+
+def _labelled(ways: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Depth, path, ordinal and labels from the way to each node."""
+    ranks = F.transform("way", lambda node: F.concat(node["rank"].cast("string"), F.lit(".")))
+
+    def ordinal(last):
+        return F.array_join(F.slice(ranks, 2, last), "")
+
+    def hier(node, i):
+        return F.trim(F.concat(ordinal(i), F.lit("0. "), node["label"]))
+
+    depth = F.size("way") - 1
+    return ways.select(
+        *scope,
+        "id",
+        "parent",
+        "label",
+        depth.alias("depth"),
+        F.col("way.id").alias("path"),
+        ordinal(depth).alias("ordinal"),
+        F.transform("way", hier).alias("hiers"),
+    ).select(*scope, "id", "parent", "label", "depth", "path", "ordinal", F.element_at("hiers", -1).alias("hier"), "hiers")
+
+
 def unreached(edges: DataFrame, nodes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Orphans and members of cycles, which the walk from the roots never meets."""
     return sized_join(edges, nodes.select(*scope, "id"), [*scope, "id"], "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.skew import BROADCAST_BYTES, null_safe_join, profile, sized_join
+from panelkit.operators.skew import BROADCAST_BYTES, HotKeys, null_safe_join, profile, size, sized_join
 from panelkit.session import side_by_side
 
 
@@ -29,6 +29,11 @@ def require_all_unique(dims: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> d
     return dict(zip(dims, side_by_side(*checks)))
 
 
+def measure_all(dims: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Bytes of several dictionaries, measured in jobs that run side by side."""
+    return dict(zip(dims, side_by_side(*[lambda d=d: size(d) for d in dims.values()])))
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -36,14 +41,14 @@ def lookup(
     validate: bool = True,
     limit: int = BROADCAST_BYTES,
     measured: int | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join of a dictionary; a null key meets a null key.
 
     ``on`` names the shared key columns, or maps a column of ``df`` to one of ``dim``.
     With ``validate`` a repeated dictionary key is an error, otherwise rows fan out.
-    ``measured`` gives the bytes of a dictionary that was checked before, ``hot`` the hot keys of
-    ``df`` (``skew.hot_keys``) that were found before a chain of lookups.
+    ``measured`` gives the bytes of a dictionary that was checked before. ``hot`` knows the hot keys of the facts
+    before a chain of lookups; without it every large lookup runs the joins before it once more to find its own.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     dim = dim.withColumnsRenamed({right: left for left, right in pairs.items() if left != right})
@@ -86,10 +91,13 @@ def inverted(dim: DataFrame, code: str, label: str, order: str | None = None) ->
 
 
 def inverse_map(
-    df: DataFrame, column: str, dim: DataFrame, code: str, label: str, to: str, order: str | None = None
+    df: DataFrame, column: str, dim: DataFrame, code: str, label: str, to: str, order: str | None = None, **options
 ) -> DataFrame:
-    """``to`` = the code whose label is in ``column``, null on a miss."""
-    return soft_map(df, column, inverted(dim, code, label, order), label, code, to, validate=False)
+    """``to`` = the code whose label is in ``column``, null on a miss.
+
+    ``measured`` may give the bytes of ``dim`` itself, which the inverted table cannot exceed.
+    """
+    return soft_map(df, column, inverted(dim, code, label, order), label, code, to, validate=False, **options)
 
 
 def adaptive_lookup(
@@ -99,6 +107,7 @@ def adaptive_lookup(
     keys: Sequence[str],
     shared: Sequence[str] = (),
     validate: bool = False,
+    **options,
 ) -> DataFrame:
     """Look ``column`` up under the first of ``keys``, or under the next one when the
     dictionary does not know some value. Repeated keys fan out unless ``validate``."""
@@ -110,7 +119,7 @@ def adaptive_lookup(
             chosen = key
             break
     side = dim.drop(*[c for c in dim.columns if c in df.columns and c not in (*shared, chosen)])
-    return lookup(df, side, {**{k: k for k in shared}, column: chosen}, validate=validate)
+    return lookup(df, side, {**{k: k for k in shared}, column: chosen}, validate=validate, **options)
 
 
 def miss_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.columns import rename
 from panelkit.operators.lookup import lookup, require_all_unique, require_unique
-from panelkit.operators.skew import sized_join
+from panelkit.operators.skew import BROADCAST_BYTES, HotKeys, sized_join
 from panelkit.operators.union import union_all
 from panelkit.session import side_by_side
 
@@ -46,13 +46,25 @@ def register_periods(labelled: DataFrame, registry: DataFrame, today: str) -> Da
     return union_all([registry.select(added.columns), added])
 
 
-def attach_periods(labelled: DataFrame, registry: DataFrame, types: DataFrame) -> DataFrame:
-    """Facts with the codes of their period and period type in place of the labels."""
-    by_label, by_type = ["period_lbl", "label_num"], ["time_period_type"]
+PERIOD_KEYS = (["period_lbl", "label_num"], ["time_period_type"])
+
+
+def attach_periods(
+    labelled: DataFrame,
+    registry: DataFrame,
+    types: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """Facts with the codes of their period and period type in place of the labels.
+
+    ``hot`` knows the hot ``PERIOD_KEYS`` of the facts, if lookups came before.
+    """
+    by_label, by_type = PERIOD_KEYS
     size = require_all_unique({"periods": (registry, by_label), "period types": (types, by_type)})
-    coded = lookup(labelled, registry.drop("period_batch"), by_label, measured=size["periods"])
+    coded = lookup(labelled, registry.drop("period_batch"), by_label, limit=limit, measured=size["periods"], hot=hot)
     types = types.select("time_period_type", "time_period_code")
-    coded = lookup(coded, types, by_type, measured=size["period types"])
+    coded = lookup(coded, types, by_type, limit=limit, measured=size["period types"], hot=hot)
     coded = coded.drop("time_period_type", "period_lbl", "month")
     return rename(coded, {"time_period_code": "time_period_type", "period_code": "period_lbl"})
 

@@ -8,16 +8,19 @@ which bounds both the broadcast list of hot keys and the copies.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from panelkit.session import row_bytes, stage
+from panelkit.session import row_bytes
 
-SLICES = 20_000
+SLICES = 10_000
+#: Entries of a frequent-items sketch (its error is 3.5 / entries of the rows), keys listed, and groups in which sketches are combined.
+TRACKED, LISTED, GROUPS = 1 << 16, 10_000, 200
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -53,32 +56,77 @@ def spread(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) + F.spark_partition_id()
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> DataFrame:
-    """Keys with more than ``1/slices`` of the rows, and the pieces to cut each into.
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A number for the key of a row; integers of all widths give the same one."""
+    whole = [df.schema[k].dataType for k in keys]
+    return F.xxhash64(*[F.col(f"`{k}`").cast("long") if isinstance(t, IntegralType) else F.col(f"`{k}`") for k, t in zip(keys, whole, strict=True)])
 
-    Found at once and written, so that a join names its input only once and the plan of a chain of
-    joins grows by one join at a time. Keys of the untouched facts, found before such a chain and
-    handed to each join, spare running the earlier joins for the counts of the later ones.
+
+class HotKeys:
+    """The hot keys of one table for all the lookups to come, found in one pass when the first join asks.
+
+    Every task keeps a frequent-items sketch of each key's hash, the sketches are combined in groups and then as
+    a whole. A sketch has at most ``TRACKED`` entries whatever the data, and misses no key with more than ``1/SLICES``
+    of the rows. A key that shares its hash with a hot one is cut up as well, which costs a few copies and changes no row.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("__total")).scalar()
-    pieces = F.ceil(F.col("__rows") * slices / total).cast("int")
-    hot = counts.filter(F.col("__rows") * slices > total).withColumn("__pieces", pieces)
-    return stage(hot.drop("__rows"), "hot-keys")
 
+    def __init__(self, df: DataFrame, *key_sets: Sequence[str], slices: int = SLICES):
+        self.df, self.key_sets, self.slices = df, [tuple(k) for k in key_sets], slices
+        self._found: dict[tuple, dict[int, int]] | None = None
+
+    def __contains__(self, keys: Sequence[str]) -> bool:
+        return tuple(keys) in self.key_sets
+
+    def pieces(self, keys: Sequence[str]) -> dict[int, int]:
+        """Hash of each hot key and the number of pieces to cut it into; at most ``LISTED`` of them."""
+        if self._found is None:
+            self._found = self._find()
+        return self._found[tuple(keys)]
+
+    def _find(self) -> dict[tuple, dict[int, int]]:
+        hashed = self.df.select(*[key_hash(self.df, keys).alias(f"k{i}") for i, keys in enumerate(self.key_sets)])
+        part = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part")
+        sketches = [F.expr(f"approx_top_k_accumulate(k{i}, {TRACKED})").alias(f"s{i}") for i in range(len(self.key_sets))]
+        grouped = hashed.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), *sketches)
+        best = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {TRACKED}), {LISTED})") for i in range(len(self.key_sets))]
+        total, *found = grouped.agg(F.sum("rows"), *best).first()
+        return {
+            keys: {row["item"]: -(-row["count"] * self.slices // total) for row in rows or [] if row["count"] * self.slices > total}
+            for keys, rows in zip(self.key_sets, found, strict=True)
+        }
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> dict[int, int]:
+    """Hashes of the keys with more than ``1/slices`` of the rows, and the pieces to cut each into."""
+    return HotKeys(df, keys, slices=slices).pieces(keys)
 
-def _cut(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+
+def _flagged(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
+    """Rows with the number of pieces of their key, null for the others."""
+    table = df.sparkSession.createDataFrame(sorted(hot.items()), "__key long, __pieces int")
+    return df.withColumn("__key", key_hash(df, keys)).join(F.broadcast(table), "__key", "left").drop("__key")
+
+
+def _cut(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
     """Number the piece of every row."""
-    flagged = null_safe_join(df, F.broadcast(hot), keys)
     piece = F.coalesce(F.pmod(spread(df), F.col("__pieces")), F.lit(0))
-    return flagged.withColumn("__piece", piece.cast("int")).drop("__pieces")
+    return _flagged(df, hot, keys).withColumn("__piece", piece.cast("int")).drop("__pieces")
 
 
-def _copy(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _copy(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
     """One row per piece of the row's key."""
-    flagged = null_safe_join(df, F.broadcast(hot), keys)
     last = F.coalesce(F.col("__pieces"), F.lit(1)) - 1
-    return flagged.withColumn("__piece", F.explode(F.sequence(F.lit(0), last)))
+    return _flagged(df, hot, keys).withColumn("__piece", F.explode(F.sequence(F.lit(0), last)))
+
+
+def _same_kinds(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with keys of one type, so that equal keys have equal hashes; integers may differ in width."""
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if a != b and not (isinstance(a, IntegralType) and isinstance(b, IntegralType)):
+            kind = left.select(k).union(right.select(k)).schema[k].dataType
+            left, right = left.withColumn(k, F.col(f"`{k}`").cast(kind)), right.withColumn(k, F.col(f"`{k}`").cast(kind))
+    return left, right
 
 
 def join_hot_left(
@@ -87,10 +135,13 @@ def join_hot_left(
     keys: Sequence[str],
     how: str = "left",
     slices: int = SLICES,
-    hot: DataFrame | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Left or inner join when the left side repeats keys; ``hot`` are its ``hot_keys`` if known."""
+    left, right = _same_kinds(left, right, keys)
     hot = hot_keys(left, keys, slices) if hot is None else hot
+    if not hot:
+        return null_safe_join(left, right, keys, how)
     copies = _copy(right, hot, keys).drop("__pieces")
     joined = null_safe_join(_cut(left, hot, keys), copies, [*keys, "__piece"], how)
     return joined.drop("__piece")
@@ -104,7 +155,10 @@ def join_hot_right(
     Every copy of a hot left row has its match in at least one piece, because the key
     is hot on the right; copies whose piece has none are dropped.
     """
+    left, right = _same_kinds(left, right, keys)
     hot = hot_keys(right, keys, slices)
+    if not hot:
+        return null_safe_join(left, right, keys)
     cut = _cut(right, hot, keys).withColumn("__matched", F.lit(True))
     joined = null_safe_join(_copy(left, hot, keys), cut, [*keys, "__piece"])
     kept = joined.filter(F.col("__pieces").isNull() | F.col("__matched").isNotNull())
@@ -118,11 +172,15 @@ def sized_join(
     how: str = "left",
     limit: int = BROADCAST_BYTES,
     measured: int | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Broadcast ``side`` if its measured bytes allow, else join with hot keys cut up."""
+    """Broadcast ``side`` if its measured bytes allow, else join with hot keys cut up.
+
+    ``hot`` knows the hot keys of the table that ``df`` was made from; without it ``df`` is read for them.
+    """
     if (size(side) if measured is None else measured) <= limit:
         return null_safe_join(df, F.broadcast(side), keys, how)
+    hot = hot.pieces(keys) if hot is not None and keys in hot else None
     if how in ("left_semi", "left_anti"):
         marked = side.select(*keys).distinct().withColumn("__hit", F.lit(True))
         joined = join_hot_left(df, marked, keys, hot=hot)

@@ -15,12 +15,16 @@ from panelkit import fixed
 from panelkit.functions import columns as C
 from panelkit.functions.periods import with_date_parts, with_old_period_label
 from panelkit.operators import hierarchy as H
-from panelkit.operators.lookup import inverse_map, miss_counts, require_all_unique, soft_map, strict_map
-from panelkit.session import side_by_side
+from panelkit.operators.lookup import inverse_map, measure_all, miss_counts, require_all_unique, require_unique, soft_map, strict_map
+from panelkit.operators.skew import BROADCAST_BYTES, HotKeys
+from panelkit.operators.union import distinct_late
+from panelkit.session import side_by_side, stage
 
 # Every category has its own trees: siblings a category lacks take no rank there.
 SCOPE = ["Category Name"]
 PERIODS = ["Time Period Type", "year", "period_lbl"]
+#: Text columns that belong together: products, buyer groups and periods are few beside the facts.
+NAMES = [[*SCOPE, "Product Name", "Segment"], ["Buyer Group Name"], PERIODS]
 
 
 class Prepared(NamedTuple):
@@ -47,7 +51,7 @@ def product_nodes(facts: DataFrame, groups: DataFrame, order=None, strict: bool
     entry = F.struct(F.col("full_label").alias("label"), F.col("product_code").alias("order"))
     listed = groups.select("vendor product id", entry.alias("entry"))
     edges = strict_map(edges, "id", listed, "vendor product id", "entry", "entry")
-    return H.walk(edges.select(*SCOPE, "id", "parent", "entry.*"), strict, SCOPE, validate=False)
+    return H.walk(edges.select(*SCOPE, "id", "parent", "entry.*"), strict, SCOPE)
 
 
 def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = True) -> DataFrame:
@@ -56,7 +60,7 @@ def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = Tr
         facts, "Buyer Group ID", "Buyer Group Parent ID", "Buyer Group Name", order, SCOPE
     ).drop("conflict")
     edges = strict_map(edges, "id", demo, "buyer group id", "demo_code", "order")
-    return H.walk(edges, strict, SCOPE, validate=False)
+    return H.walk(edges, strict, SCOPE)
 
 
 def prepare(
@@ -66,6 +70,7 @@ def prepare(
     metrics: list[str] | None = None,
     order=None,
     strict: bool = True,
+    limit: int = BROADCAST_BYTES,
 ) -> Prepared:
     """Facts with hierarchy labels, depths, feature, category and demographic group.
 
@@ -79,17 +84,24 @@ def prepare(
     )
     product_levels = [c for c in products.columns if c.startswith("level_") and not c.endswith("_code")]
 
+    # every id comes once in the trees (checked by the walk); their bytes bound those of the sides made from them
+    measured, (_, group_bytes, _) = side_by_side(
+        lambda: measure_all({"products": products, "buyers": buyers}),
+        lambda: require_unique(groups, ["vendor product id"], "products"),
+    )
+    known = {name: {"validate": False, "limit": limit, "measured": n} for name, n in measured.items()}
     named = facts.select("Category Name", "Vendor Product ID", "Product Name").distinct()
     side = products.select(*SCOPE, "id", F.col("depth").alias("product_lvls"), *product_levels)
     tree = H.category_tree(
-        H.attach(named, side, "Vendor Product ID", SCOPE),
+        H.attach(named, side, "Vendor Product ID", SCOPE, **known["products"]),
         ["Category Name", "Vendor Product ID", "Product Name", "product_lvls", *product_levels],
     )
 
-    joined = facts.select(
-        "Category Name", "Vendor Product ID", "Product Name", "Segment",
-        "Buyer Group ID", "Buyer Group Name", *PERIODS, *metrics,
-    ).distinct()
+    # Names are long and repeat; only their numbers and the metrics are compared and shuffled.
+    joined = distinct_late(
+        facts.select("Vendor Product ID", "Buyer Group ID", *[c for own in NAMES for c in own], *metrics), NAMES, limit
+    )
+    hot = HotKeys(facts, [*SCOPE, "Vendor Product ID"], ["Vendor Product ID"], [*SCOPE, "Buyer Group ID"])
     # Of the levels only the category and the demographic group stay in the facts, so no
     # other level is attached and none has to be tested for being redundant.
     side = products.select(
@@ -100,8 +112,11 @@ def prepare(
         F.col("level_0").alias("category"),
         F.col("level_0_code").alias("category_code"),
     )
-    joined = H.attach(joined, side, "Vendor Product ID", SCOPE)
-    joined = strict_map(joined, "Vendor Product ID", groups, "vendor product id", "feature", "feature")
+    joined = H.attach(joined, side, "Vendor Product ID", SCOPE, hot=hot, **known["products"])
+    joined = strict_map(
+        joined, "Vendor Product ID", groups, "vendor product id", "feature", "feature",
+        limit=limit, measured=group_bytes, hot=hot,
+    )
     side = buyers.select(
         *SCOPE,
         "id",
@@ -110,7 +125,7 @@ def prepare(
         F.col("demo_1").alias("socdem_gr"),
         F.col("demo_1_code").alias("socdem_gr_code"),
     )
-    joined = H.attach(joined, side, "Buyer Group ID", SCOPE)
+    joined = H.attach(joined, side, "Buyer Group ID", SCOPE, hot=hot, **known["buyers"])
     # a buyer group that no root reaches has no depth; its facts stay
     result = joined.filter(F.col("demo_lvls").isNull() | (F.col("demo_lvls") != 1)).drop("Category Name")
     return Prepared(result, tree, products, buyers)
@@ -118,19 +133,37 @@ def prepare(
 
 def recode(
     prepared: DataFrame, groups: DataFrame, demo: DataFrame, segments: DataFrame,
-    periods: DataFrame, types: DataFrame,
+    periods: DataFrame, types: DataFrame, limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Labels and ids of prepared facts as codes, metrics in thousands, national shop."""
-    by_product, by_buyer = ["vendor product id"], ["buyer group id"]
-    size = require_all_unique({"products": (groups, by_product), "buyer groups": (demo, by_buyer)})
+    """Labels and ids of prepared facts as codes, metrics in thousands, national shop.
+
+    If some dictionary is too large to broadcast, the facts are written first: the hot keys of all
+    lookups are found in one pass over that table, and no join before them runs twice.
+    """
+    unique = {"products": (groups, ["vendor product id"]), "buyer groups": (demo, ["buyer group id"])}
+    others = {"segments": segments, "periods": periods, "types": types}
+    checked, measured = side_by_side(lambda: require_all_unique(unique), lambda: measure_all(others))
+    size = checked | measured
+    if max(size.values()) > limit:
+        prepared = stage(prepared, "prepared")
+    df = C.recode(prepared, "Time Period Type", fixed.OLD_PERIOD_SPELLING)
+    keyed = df.withColumnRenamed("Time Period Type", "time_period_type")
+    hot = HotKeys(
+        keyed, ["Vendor Product ID"], ["feature"], ["Segment"], ["socdem_gr_code"], ["Buyer Group ID"],
+        ["time_period_type"], ["period_lbl"],
+    )
+
+    def options(name):
+        return {"limit": limit, "measured": size[name], "hot": hot}
+
     product = (groups, "vendor product id", "product_code", "products")
-    df = soft_map(prepared, "Vendor Product ID", *product, measured=size["products"])
-    df = inverse_map(df, "feature", groups, "feature_code", "feature", "features")
-    df = inverse_map(df, "Segment", segments, "segment_code", "segment", "cat_segment")
+    df = soft_map(df, "Vendor Product ID", *product, **options("products"))
+    df = inverse_map(df, "feature", groups, "feature_code", "feature", "features", **options("products"))
+    df = inverse_map(df, "Segment", segments, "segment_code", "segment", "cat_segment", **options("segments"))
     df = df.withColumn("category", C.map_value(fixed.CATEGORY_CODES, F.col("category")))
     group = (demo, "buyer group id", "demo_code")
-    df = soft_map(df, "socdem_gr_code", *group, "socdem_gr", measured=size["buyer groups"])
-    df = soft_map(df, "Buyer Group ID", *group, "demo_groups", measured=size["buyer groups"])
+    df = soft_map(df, "socdem_gr_code", *group, "socdem_gr", **options("buyer groups"))
+    df = soft_map(df, "Buyer Group ID", *group, "demo_groups", **options("buyer groups"))
     df = C.copy_codes(df, {"product_hier": "products", "demo_hier": "demo_groups"})
     df = df.drop(
         "socdem_gr_code", "category_code", "Vendor Product ID", "Product Name", "feature", "Segment",
@@ -139,9 +172,9 @@ def recode(
     df = C.snake_headers(df, plus=True)
     df = C.to_thousands(df, [m for m in fixed.METRICS_IN_UNITS if m in df.columns])
     df = C.cast_columns(df, {"year": "int", "product_lvls": "int", "demo_lvls": "int"})
-    df = C.recode(df, "time_period_type", fixed.OLD_PERIOD_SPELLING)
-    df = inverse_map(df, "time_period_type", types, "time_period_code", "time_period_type", "time_period_type")
-    df = inverse_map(df, "period_lbl", periods, "period_code", "label_num", "period_lbl")
+    kind = (types, "time_period_code", "time_period_type", "time_period_type")
+    df = inverse_map(df, "time_period_type", *kind, **options("types"))
+    df = inverse_map(df, "period_lbl", periods, "period_code", "label_num", "period_lbl", **options("periods"))
     df = C.with_constants(
         df, {"shop_code": fixed.NATIONAL, "shop_lvls": 1, "channel_code": fixed.NATIONAL}
     )

@@ -39,8 +39,7 @@ def test_lookup_keeps_every_row_and_null_meets_null(facts, dim, limit):
 
 def test_hot_key_is_cut_into_pieces(facts, dim):
     hot = K.hot_keys(facts, ["key"], slices=10)
-    pieces = {r["key"]: r["__pieces"] for r in hot.collect()}
-    assert set(pieces) == {7} and pieces[7] > 3
+    assert len(hot) == 1 and next(iter(hot.values())) > 3
     cut = K._cut(facts, hot, ["key"]).filter("key = 7").groupBy("__piece").count().collect()
     assert len(cut) > 1 and max(r["count"] for r in cut) < 300
     assert rows(K.join_hot_left(facts, dim, ["key"], slices=10)) == expected(facts, dim)

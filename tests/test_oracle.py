@@ -54,6 +54,6 @@ def test_query(spark, duck, name):
     assert len(got) == len(wanted)
     assert got == wanted
     kinds = {d[0]: str(d[1]) for d in expected.description}
-    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
     differing = {c: (t, kinds[c]) for c, t in df.dtypes if same.get(t) != kinds[c].upper()}
     assert not differing

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import hierarchy as H
+from panelkit.operators.lookup import RepeatedKeyError
 from panelkit.operators.ranks import with_chunk, with_dense_rank, with_row_number
 
 SCHEMA = "id long, parent long, order long, label string"
@@ -114,3 +115,43 @@ def test_chunks(spark, n, chunks, one_task_rows):
     df = spark.createDataFrame([("a", i) for i in range(n)], "category string, id int")
     found = with_chunk(df, ["category"], ["id"], 2, one_task_rows=one_task_rows)
     assert [r.chunk for r in sorted(found.collect(), key=lambda r: r.id)] == chunks
+
+
+def test_a_chain_of_200_nodes_takes_nine_joins(spark, monkeypatch):
+    joins = []
+    plain = H.sized_join
+    monkeypatch.setattr(H, "sized_join", lambda *a, **k: joins.append(a[3] if len(a) > 3 else "left") or plain(*a, **k))
+    data = [(i, max(i - 1, 0), 1, f"n{i}") for i in range(200)]
+    found = nodes(spark, data)
+    assert joins.count("inner") <= 9 and len(found) == 200
+    assert list(found[199].path) == list(range(200)) and found[199].ordinal == "1." * 199 and found[199].depth == 199
+    assert list(found[7].hiers) == [f"{'1.' * i}0. n{i}" for i in range(8)]
+
+
+def test_long_and_short_ways_side_by_side(spark):
+    data = [(0, 0, 0, "r")] + [(i, (i - 1) // 2 if i % 3 else max(0, i - 1), i % 4, f"n{i}") for i in range(1, 120)]
+    parent = {i: p for i, p, *_ in data}
+    for options in ({}, {"one_task_rows": 0, "limit": 0}):
+        found = nodes(spark, data, **options)
+        assert len(found) == len(data)
+        for i, row in found.items():
+            way = [i]
+            while way[0]:
+                way.insert(0, parent[way[0]])
+            assert list(row.path) == way and row.depth == len(way) - 1
+
+
+def test_repeated_ids_hide_no_orphan(spark):
+    data = [(1, 1, 0, "r"), (2, 1, 1, "a"), (2, 1, 1, "a"), (3, 2, 0, "b"), (9, 99, 0, "orphan")]
+    with pytest.raises(RepeatedKeyError):
+        nodes(spark, data)
+    with pytest.raises(RepeatedKeyError):
+        nodes(spark, data, strict=False)
+
+
+def test_ways_into_a_cycle_end(spark):
+    ring = [(i, 100 + (i - 99) % 7, 0, f"c{i}") for i in range(100, 107)]
+    tail = [(200, 103, 0, "t0")] + [(200 + i, 199 + i, 0, f"t{i}") for i in range(1, 30)]
+    with pytest.raises(H.BrokenTreeError):
+        nodes(spark, TREE + ring + tail)
+    assert set(nodes(spark, TREE + ring + tail, strict=False)) == {1, 10, 11, 110}

@@ -32,7 +32,43 @@ def test_old_rows_win_and_missing_columns_are_filled(spark):
 
 def test_rows_are_kept_whole(spark):
     df = spark.createDataFrame([(1, 1.0, 9.0), (1, 2.0, 0.0), (1, None, 7.0)], "k int, a double, b double")
-    assert rows(U.first_by_priority([df])) == Counter({(1, None, 7.0): 1})
+    found = U.first_by_priority([df], conflict="conflict")
+    assert rows(found, "k", "conflict") == Counter({(1, True): 1})
+    assert rows(found, "a", "b") == Counter({(1.0, 9.0): 1})  # whole, and not the row with a gap
+
+
+def test_the_fuller_row_of_the_first_frame_wins(spark):
+    schema = "k int, a double, b double, c double"
+    first = [(1, None, None, 1.0), (1, None, 2.0, 1.0), (2, 1.0, 1.0, 1.0), (2, 1.0, 1.0, 1.0), (3, None, None, None), (3, None, 8.0, 1.0), (3, None, 8.0, 0.5), (None, 1.0, 1.0, 2.0)]
+    second = [(1, 9.0, 9.0, 9.0), (4, 5.0, None, 1.0), (4, None, 5.0, 1.0), (None, 0.0, 0.0, 0.0)]
+    found = U.first_by_priority([spark.createDataFrame(x, schema) for x in (first, second)], conflict="conflict")
+    assert rows(found) == Counter(
+        [(1, None, 2.0, 1.0, False), (2, 1.0, 1.0, 1.0, False), (3, None, 8.0, 0.5, True), (None, 1.0, 1.0, 2.0, False), (4, None, 5.0, 1.0, True)]
+    )
+
+
+def test_the_winner_is_found_by_hashing(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, a double")
+    plan = U.first_by_priority([df])._jdf.queryExecution().executedPlan().toString()
+    found = plan[: plan.index("min(struct")]  # without the part that settles conflicts
+    assert "HashAggregate" in found and "min_by" in found and found.count("SortAggregate") == 1
+
+
+def test_texts_put_back_after_the_distinct(spark):
+    data = [(1, "a", None, 2.0), (1, "a", None, 2.0), (1, None, "a", 2.0), (2, "a", "b", None), (2, "a", "b", None)]
+    df = spark.createDataFrame(data, "id int, t string, u string, m double")
+    for limit in (0, 1 << 20):
+        found = U.distinct_late(df, [["t", "u"]], limit)
+        assert found.columns == df.columns and rows(found) == Counter(set(data))
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_first_file_by_number(spark, limit):
+    data = [(i % 5, f"f{i:03d}" if i % 5 else None) for i in range(200)] + [(3, None), (None, "z"), (None, None)]
+    df = spark.createDataFrame(data, "k int, file string")
+    assert rows(U.distinct_without(df, limit=limit)) == Counter({(0, None): 1, (1, "f001"): 1, (2, "f002"): 1, (3, "f003"): 1, (4, "f004"): 1, (None, "z"): 1})
+    plan = U.distinct_without(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 20])
