@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType
 
 _local_roots: dict[str, str] = {}
+# Folders staged in the innermost open scope.
+_staged: ContextVar[list[str]] = ContextVar("staged", default=[])
 
 
 # Bytes a shuffle partition is to hold: tens of thousands of partitions at 100 TB; it may spill.
@@ -75,7 +79,52 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    _staged.get().append(path)
+    return table
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables whose successors are written; frames that are no staged tables are left alone.
+
+    Plans that still read such a table fail, so it is for tables that nothing unwritten depends on.
+    """
+    for table in tables:
+        path = getattr(table, "staged_path", None)
+        if path:
+            _delete(table.sparkSession, path)
+            table.staged_path = None
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end every table staged inside but those handed to the function it gives.
+
+    ``with staging_scope(spark) as keep: result = keep(stage(plan, "result"))`` leaves the result alone in the
+    folder. Steps that ``side_by_side`` runs belong to the scope that is open around them.
+    """
+    mine: list[str] = []
+    kept: set[str] = set()
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.add(table.staged_path)
+        return table
+
+    token = _staged.set(mine)
+    try:
+        yield keep
+    finally:
+        _staged.reset(token)
+        _staged.get().extend(p for p in mine if p in kept)
+        for path in mine:
+            if path not in kept:
+                _delete(spark, path)
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -117,4 +166,4 @@ def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
 def side_by_side(*steps: Callable) -> list:
     """Results of independent steps, whose Spark jobs share the cluster instead of queueing."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [result.result() for result in [pool.submit(step) for step in steps]]
+        return [result.result() for result in [pool.submit(copy_context().run, step) for step in steps]]
