@@ -10,12 +10,12 @@ not ordered. Of every repeated window all places but the first in the corpus are
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import ranked
 from panelkit.operators.skew import sized_join
-from panelkit.session import stage, stage_sized
+from panelkit.session import stage, stage_sized, unstage
 
 MIN_WORDS = 30
 #: White space of any script, a letter of a script without blanks, and all other signs, as Java's regular expressions name them.
@@ -38,10 +38,23 @@ def line_table(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"),
     )
     line = F.btrim("line", F.lit(" \t\r"))
+    return lines.select("d1", "d2", "pos", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line).alias("h2"), words_of(line).alias("words"))
+
+
+def words_of(line: Column) -> Column:
+    """The number of words of a line, by counting blanks where that is enough.
+
+    It is not for lines with white space beyond ASCII or signs from U+0E00 on, where the scripts without blanks
+    lie, nor for those with several blanks in a row; they go through a regular expression.
+    """
+    plain = F.btrim(F.translate(line, "\t\v\f\r", "    "))
     # each word, with the white space around it, becomes one sign
     signs = F.length(F.regexp_replace(line, rf"{SPACE}*(?:{LETTER}\p{{M}}*|{OTHER}+){SPACE}*", "x"))
-    words = F.when(line.rlike(r"[^\p{IsWhite_Space}]"), signs).otherwise(1)
-    return lines.select("d1", "d2", "pos", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit("second"), line).alias("h2"), words.alias("words"))
+    by_sign = F.when(line.rlike(r"[^\p{IsWhite_Space}]"), signs).otherwise(1)
+    blanks = F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit("")))
+    ascii_ = F.octet_length(plain) == F.length(plain)
+    other = ~ascii_ & plain.rlike(r"[\x{85}\x{a0}\x{0e00}-\x{10ffff}]")
+    return F.when(plain == "", 1).when(F.contains(plain, F.lit("  ")) | other, by_sign).otherwise(blanks + 1)
 
 
 def suffix_ranks(runs: DataFrame, longest: int) -> tuple[DataFrame, int]:
@@ -51,15 +64,16 @@ def suffix_ranks(runs: DataFrame, longest: int) -> tuple[DataFrame, int]:
     lines; a run that ends early counts as followed by rank -1. Doubling stops once ``longest`` lines are told apart.
     """
     keys = ranked(runs.select("h1", "h2").distinct(), ["h1", "h2"], "r0", "line-keys")
-    table = stage(runs.join(keys, ["h1", "h2"]).drop("h1", "h2"), "line-ranks")
+    table = stage(sized_join(runs, keys, ["h1", "h2"], "inner").drop("h1", "h2"), "line-ranks")
     level = 0
     while 2 ** (level + 1) <= longest:
         along = Window.partitionBy("d1", "d2", "run").orderBy("pos")
         ahead = F.coalesce(F.lead(f"r{level}", 2**level).over(along), F.lit(-1).cast("long"))
         paired = stage(table.withColumn("ahead", ahead), "line-pairs")
         pairs = ranked(paired.select(f"r{level}", "ahead").distinct(), [f"r{level}", "ahead"], f"r{level + 1}", "line-keys")
-        table = stage(paired.join(pairs, [f"r{level}", "ahead"]).drop("ahead"), "line-ranks")
-        level += 1
+        longer = stage(sized_join(paired, pairs, [f"r{level}", "ahead"], "inner").drop("ahead"), "line-ranks")
+        unstage(table, paired)
+        table, level = longer, level + 1
     return table, level
 
 
@@ -71,7 +85,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     lines = stage(line_table(docs), "lines")
     often = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeated = lines.join(often, ["h1", "h2"]).dropDuplicates(["d1", "d2", "pos"])
+    often, _, bytes_ = stage_sized(often, "line-often")
+    repeated = sized_join(lines, often, ["h1", "h2"], "inner", measured=bytes_).dropDuplicates(["d1", "d2", "pos"])
     in_doc = Window.partitionBy("d1", "d2").orderBy("pos")
     run = Window.partitionBy("d1", "d2", "run").orderBy("pos")
     runs = (
@@ -89,6 +104,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .drop("words", "upto", "before", "total"),
         "line-runs",
     )
+    unstage(lines, often)
     longest = runs.agg(F.max(F.greatest("forward", "backward"))).first()[0] or 1
     table, levels = suffix_ranks(runs, longest)
     start = F.col("pos") - F.col("backward") + 1
@@ -109,8 +125,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select("d1", "d2", "pos", "m", "head", F.expr("ranks[level]").alias("tail"))
     )
     both = stage(both, "line-stretches")
+    unstage(runs, table)
     first = both.groupBy("m", "head", "tail").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d1", "d2", "pos")).alias("first")).where("n > 1").drop("n")
-    later = both.join(first, ["m", "head", "tail"]).where("struct(d1, d2, pos) > first").select("d1", "d2", F.col("pos").alias("s"), (F.col("pos") + F.col("m")).cast("int").alias("e"))
+    later = sized_join(both, first, ["m", "head", "tail"], "inner").where("struct(d1, d2, pos) > first").select("d1", "d2", F.col("pos").alias("s"), (F.col("pos") + F.col("m")).cast("int").alias("e"))
     by_doc = Window.partitionBy("d1", "d2").orderBy("s", "e")
     reached = F.max("e").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     islands = later.distinct().withColumn("new", F.when(F.coalesce(reached, F.lit(-1)) < F.col("s"), 1).otherwise(0)).withColumn("island", F.sum("new").over(by_doc))
