@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import langid, line_dedup, near_dedup, packing, toxicity
-from panelkit.llm.common import held_out
+from panelkit.llm.common import held_out, ranked
 from panelkit.llm.queries import tokenizer_path
-from panelkit.session import stage
+from panelkit.operators.skew import sized_join
+from panelkit.session import stage, unstage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -47,18 +48,27 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies, that of the smallest id; rows without id come last.
 
-    Every distinct pair of id and text is compared under a 64-bit number of its own, and equal pairs are
-    one row (the smallest of their other columns stays).
+    Every distinct pair of id and text (two hashes) is numbered, in order of the ids, and compared under its number. What stays
+    is decided on numbers; the texts are only read again and filtered. Of rows equal in id and text that with the smallest
+    other columns stays.
     """
     text = F.col("text").cast("string")
-    number = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), text.isNull(), text)
-    numbered = docs.withColumn("number", number)
-    classes = stage(near_dedup.near_classes(numbered.select(F.col("number").alias("doc_id"), "text")), "corpus-classes")
-    ids = numbered.groupBy("number").agg(F.min("doc_id").alias("id"))
-    order = F.struct(F.col("id").isNull().alias("none"), "id", "number")
-    first = classes.select(F.col("doc_id").alias("number"), "class_id").join(ids, "number").groupBy("class_id").agg(F.min(order).alias("first"))
-    rows = numbered.groupBy("number").agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("row"))
-    return rows.join(first.select(F.col("first.number").alias("number")), "number").select("row.*").select(*COLUMNS)
+    digests = [F.xxhash64(text.isNull(), text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
+    keys = ["doc_id", "h1", "h2"]
+    hashed = docs.select(*COLUMNS, *digests)
+    pairs = hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).withColumn("none", F.col("doc_id").isNull())
+    numbers = stage(ranked(pairs, ["none", *keys], "number", "corpus-order"), "corpus-numbers")
+    numbered = sized_join(hashed.select(*keys, "text"), numbers.select(*keys, "number"), keys, "inner")
+    rows = numbered.select(F.col("number").alias("doc_id"), "text")
+    classes = stage(near_dedup.near_classes(rows), "corpus-classes")
+    first = classes.groupBy("class_id").agg(F.min("doc_id").alias("number")).select("number")
+    winners = stage(sized_join(numbers, first, ["number"], "left_semi").select(*keys, "copies"), "corpus-winners")
+    unstage(classes, numbers)
+    kept = sized_join(hashed, winners, keys, "inner")
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    once = kept.where("copies = 1").select(*COLUMNS)
+    several = kept.where("copies > 1").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row"))
+    return once.unionByName(several.select("doc_id", "row.*"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
