@@ -282,7 +282,7 @@ def publish_reload_append(spark, sf_dir):
     sinks.publish([orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus = 'O'")], path, "reload")
     late = orders.filter("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("again"))
     sinks.publish([late], path, "append")
-    return spark.read.schema(orders.schema).parquet(path)
+    return sinks.published(spark, path)
 
 
 @query("SELECT c_mktsegment, count(*) AS n_customers FROM customer GROUP BY 1")

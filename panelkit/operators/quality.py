@@ -6,9 +6,11 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from panelkit.functions.columns import metric_columns
 from panelkit.operators.skew import sized_join
+from panelkit.operators.union import union_all
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,15 +54,42 @@ def columns_without_labels(df: DataFrame, labelled: Iterable[str], floats: bool
     return [c for c in df.columns if c not in known]
 
 
+#: Codes of one bitmap.
+BITMAP = 1 << 15
+
+
 def codes_in_use(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
     """Distinct (variable, code) over the coded columns.
 
-    Values are made distinct inside each task first, so what is shuffled is bounded by
-    the number of codes and not by the rows.
+    Whole-number codes from 1 to ``BITMAP`` are marked in one bitmap per variable, made in each task and combined: one pass over
+    the facts without repeating a row, whatever the number of variables. Only a variable with other codes, or with codes
+    that are no whole numbers, has these made distinct in a pass over its own column.
     """
     named = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
-    coded = df.select(*[F.col(c).cast("string").alias(v) for c, v in named.items()])
-    return coded.unpivot([], list(named.values()), "variable", "code").distinct()
+    if not named:
+        return df.sparkSession.createDataFrame([], "variable string, code string")
+    whole = [(c, v) for c, v in named.items() if isinstance(df.schema[c].dataType, IntegralType)]
+    rest = [(c, v, F.lit(True)) for c, v in named.items() if (c, v) not in whole]
+    found: list[tuple[str, str | None]] = []
+    if whole:
+        steps = []
+        for i, (c, _) in enumerate(whole):
+            code = F.col(f"`{c}`").cast("long")
+            inside = code.between(1, BITMAP)
+            steps.append(F.bitmap_construct_agg(F.bitmap_bit_position(F.when(inside, code))).alias(f"b{i}"))
+            steps += [F.count_if(code.isNull()).alias(f"n{i}"), F.count_if(~inside).alias(f"o{i}")]
+        seen = df.agg(*steps).first()
+        for i, (c, v) in enumerate(whole):
+            bits = int.from_bytes(bytes(seen[f"b{i}"] or b""), "little")
+            found += [(v, str(place + 1)) for place, bit in enumerate(reversed(f"{bits:b}")) if bit == "1"]
+            found += [(v, None)] if seen[f"n{i}"] else []
+            if seen[f"o{i}"]:
+                rest.append((c, v, ~F.col(f"`{c}`").between(1, BITMAP)))
+    frames = [df.sparkSession.createDataFrame(found, "variable string, code string")]
+    for c, v, outside in rest:
+        code = F.col(f"`{c}`").cast("string").alias("code")
+        frames.append(df.filter(outside).select(F.lit(v).alias("variable"), code).distinct())
+    return union_all(frames)
 
 
 def uncovered_codes(df: DataFrame, labels: DataFrame, variables: Iterable[str]) -> DataFrame:

@@ -12,11 +12,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from panelkit.session import row_bytes
+from panelkit.session import row_bytes, stage
 
 SLICES = 10_000
 #: Entries of a frequent-items sketch (its error is 3.5 / entries of the rows), keys listed, and groups in which sketches are combined.
@@ -91,7 +91,7 @@ class HotKeys:
         best = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {TRACKED}), {LISTED})") for i in range(len(self.key_sets))]
         total, *found = grouped.agg(F.sum("rows"), *best).first()
         return {
-            keys: {row["item"]: -(-row["count"] * self.slices // total) for row in rows or [] if row["count"] * self.slices > total}
+            keys: {r["item"]: min(r["count"], -(-r["count"] * self.slices // total)) for r in rows or [] if r["count"] > max(1, total // self.slices)}
             for keys, rows in zip(self.key_sets, found, strict=True)
         }
 
@@ -101,19 +101,27 @@ def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> dict[i
     return HotKeys(df, keys, slices=slices).pieces(keys)
 
 
-def _flagged(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
+def named(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
+    """The hot keys themselves with their pieces: the keys of ``df`` whose hashes are hot."""
+    flagged = _flagged(df.select(*keys), hot, keys).filter(F.col("__pieces").isNotNull())
+    return stage(flagged.groupBy(*keys).agg(F.max("__pieces").alias("__pieces")), "hot-keys")
+
+
+def _flagged(df: DataFrame, hot: Mapping[int, int] | DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with the number of pieces of their key, null for the others."""
+    if isinstance(hot, DataFrame):
+        return null_safe_join(df, F.broadcast(hot), keys)
     table = df.sparkSession.createDataFrame(sorted(hot.items()), "__key long, __pieces int")
     return df.withColumn("__key", key_hash(df, keys)).join(F.broadcast(table), "__key", "left").drop("__key")
 
 
-def _cut(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
+def _cut(df: DataFrame, hot: Mapping[int, int] | DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number the piece of every row."""
     piece = F.coalesce(F.pmod(spread(df), F.col("__pieces")), F.lit(0))
     return _flagged(df, hot, keys).withColumn("__piece", piece.cast("int")).drop("__pieces")
 
 
-def _copy(df: DataFrame, hot: Mapping[int, int], keys: Sequence[str]) -> DataFrame:
+def _copy(df: DataFrame, hot: Mapping[int, int] | DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per piece of the row's key."""
     last = F.coalesce(F.col("__pieces"), F.lit(1)) - 1
     return _flagged(df, hot, keys).withColumn("__piece", F.explode(F.sequence(F.lit(0), last)))
@@ -148,21 +156,43 @@ def join_hot_left(
 
 
 def join_hot_right(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], slices: int = SLICES
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    slices: int = SLICES,
+    unique: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Left join when the right side repeats keys.
+    """Left join with ``right``, a table to be read twice, when that side repeats keys.
 
-    Every copy of a hot left row has its match in at least one piece, because the key
-    is hot on the right; copies whose piece has none are dropped.
+    Each side is shuffled once, by key and piece; the ``distinct`` of the right rows, the check that ``unique`` asks for (one
+    left row per key, else an error in the rows) and the join all use that shuffle. For a distinct the piece of a right row follows
+    from its content, so that copies meet. Every copy of a hot left row has its match in at least one piece, because the key itself is among the
+    right keys; copies whose piece has none are dropped.
     """
     left, right = _same_kinds(left, right, keys)
     hot = hot_keys(right, keys, slices)
-    if not hot:
-        return null_safe_join(left, right, keys)
-    cut = _cut(right, hot, keys).withColumn("__matched", F.lit(True))
-    joined = null_safe_join(_copy(left, hot, keys), cut, [*keys, "__piece"])
+    values = [c for c in right.columns if c not in keys]
+    if hot:
+        exact = named(right, hot, keys)
+        left = _copy(left, exact, keys)
+        content = F.xxhash64(*[x for c in values for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]) if values else F.lit(0)
+        place = F.pmod(content if distinct else spread(right), F.col("__pieces"))
+        right = _flagged(right, exact, keys).withColumn("__piece", F.coalesce(place, F.lit(0)).cast("int"))
+    else:
+        left = left.withColumn("__pieces", F.lit(None).cast("int"))
+    # one key that is never null: fields of a struct that are null equal each other
+    key, place = F.struct(*keys).alias("__key"), ["__key", "__piece"] if hot else ["__key"]
+    right = right.withColumn("__key", key).select(*place, *values).repartition(*place)
+    right = (right.distinct() if distinct else right).withColumn("__matched", F.lit(True))
+    left = left.withColumn("__key", key).repartition(*place)
+    if unique:
+        count = F.count(F.lit(1)).over(Window.partitionBy(*place))
+        wrong = F.raise_error(F.concat(F.lit(f"{', '.join(keys)} repeats: "), F.to_json("__key")))
+        left = left.withColumn("__pieces", F.when(count > 1, wrong.cast("int")).otherwise(F.col("__pieces")))
+    joined = left.join(right, place, "left")
     kept = joined.filter(F.col("__pieces").isNull() | F.col("__matched").isNotNull())
-    return kept.drop("__pieces", "__piece", "__matched")
+    return kept.drop("__key", "__pieces", "__piece", "__matched")
 
 
 def sized_join(

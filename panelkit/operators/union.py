@@ -17,7 +17,6 @@ from panelkit.operators.skew import (
     HotKeys,
     join_hot_right,
     null_safe_join,
-    size,
     sized_join,
 )
 from panelkit.session import side_by_side, stage_sized
@@ -146,18 +145,22 @@ def backfill(
 
     The key is every non-metric column both frames have, null equal to null, one old
     row per key. An old row with several new ones appears once for each of them.
+
+    Old rows that repeat a key are an error: at once if the new ones are broadcast, else when the rows are read, since
+    the check shares the join's shuffle.
     """
     metric_names = set(metric_names or metric_columns(new)) - set(metrics)
     filled = [m for m in metrics if m in new.columns]
     kept = old.drop(*filled)
     source = new.drop(*metric_names)
     keys = sorted(set(kept.columns) & set(source.columns))
-    if validate:
-        require_unique(kept, keys, "old rows")
-    # Repeated rows only make the measured size larger than what would be broadcast.
-    if size(source) <= limit:
+    # Written once, as narrow as it is used; repeated rows only make it larger than what would be broadcast.
+    source, _, measured = stage_sized(source, "backfill")
+    if measured <= limit:
+        if validate:
+            require_unique(kept, keys, "old rows")
         joined = null_safe_join(kept, F.broadcast(source.distinct()), keys)
     else:
-        joined = join_hot_right(kept, source.distinct(), keys, slices)
+        joined = join_hot_right(kept, source, keys, slices, validate, distinct=True)
     order = [c for c in old.columns if c in joined.columns]
     return joined.select(*order, *[c for c in joined.columns if c not in order])

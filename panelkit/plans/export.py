@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelkit import fixed
 from panelkit.operators import quality
@@ -14,6 +15,7 @@ from panelkit.operators.registry import in_latest_batch
 from panelkit.session import stage
 from panelkit.sources import sinks
 
+BATCH = "period_batch"
 COVERAGE = ["category", "period_lbl", "demo_groups", "shop_code"]
 
 
@@ -71,11 +73,22 @@ def export(
     registry: DataFrame | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """Chunks by category and the label sidecar; with ``registry`` only its latest batch."""
+    """Chunks by category and the label sidecar; with ``registry`` only its latest batch.
+
+    A batch lies in folders of its own, data and labels (``period_batch=n/category=..``). Batches stand side by side, and a run
+    replaces its own and no other.
+    """
     df = df.drop("file")
     if registry is not None:
         df = in_latest_batch(df, registry)
     values = present_labels(label_table(sources), df)
     variables = metric_labels(df.sparkSession, df, fixed.METRIC_LABELS)
-    sinks.write_chunks(df, f"{path}/data", rows=chunk_rows, mode=mode)
-    sinks.write_labels(path, values, variables, mode=mode)
+    if registry is None:
+        sinks.write_chunks(df, f"{path}/data", rows=chunk_rows, mode=mode)
+        sinks.write_labels(path, values, variables, mode=mode)
+        return
+    number = registry.agg(F.max("period_batch")).first()[0]
+    for table, name in ((df, "data"), (values, "value_labels"), (variables, "variable_labels")):
+        by = [BATCH, "category"] if name == "data" else [BATCH]
+        table = table.withColumn(BATCH, F.lit(number))
+        sinks.write_batch(table, f"{path}/{name}", by, chunk_rows if name == "data" else None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -64,20 +65,57 @@ def write_tree(df: DataFrame, columns: Sequence[str], path: str, mode: str = "er
 
 
 def write_report(report: DataFrame, path: str) -> bool:
-    """Keep a report for later; an empty one is not written."""
-    if report.isEmpty():
-        return False
+    """Keep a report for later, an empty one as an empty table; tells whether it has rows."""
     write_parquet(report, path, mode="overwrite")
-    return True
+    return not report.sparkSession.read.schema(report.schema).parquet(path).isEmpty()
 
 
 def publish(frames: Sequence[DataFrame], path: str, mode: str = "reload") -> None:
-    """``reload``: the first frame replaces the published table and the rest are added;
-    ``append``: all are added."""
+    """``reload``: the frames replace the published table; ``append``: all are added. Read it with ``published``.
+
+    Every frame is written to a folder of its own. What is published is the list of folders with the highest version
+    number, a single small file that is moved into place last: until then, and for good if a write fails
+    before it, readers find the table as it was. Folders of older versions stay, for readers that are still at them.
+    One publisher at a time.
+    """
     if mode not in ("reload", "append"):
         raise ValueError(f"{mode!r} is no publish mode, use 'reload' or 'append'")
-    for i, df in enumerate(frames):
-        write_parquet(df, path, mode="overwrite" if mode == "reload" and i == 0 else "append")
+    spark = frames[0].sparkSession
+    version, folders = _published_folders(spark, path)
+    folders = [] if mode == "reload" else folders
+    for df in frames:
+        folder = f"part-{uuid.uuid4().hex}"
+        write_parquet(df, f"{path}/data/{folder}")
+        folders.append(folder)
+    listed = spark.createDataFrame([(version + 1, folders)], POINTER)
+    write_parquet(listed.coalesce(1), f"{path}/versions", mode="append")
+
+
+POINTER = "version long, folders array<string>"
+
+
+def _published_folders(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    try:
+        newest = spark.read.schema(POINTER).parquet(f"{path}/versions").agg(F.max_by(F.struct("*"), "version")).first()[0]
+    except AnalysisException:
+        newest = None
+    return (newest.version, list(newest.folders)) if newest else (0, [])
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The table that was published last, all its frames under each other; columns some lack are null there."""
+    _, folders = _published_folders(spark, path)
+    if not folders:
+        raise ValueError(f"nothing is published at {path}")
+    return spark.read.option("mergeSchema", True).parquet(*[f"{path}/data/{f}" for f in folders])
+
+
+def write_batch(df: DataFrame, path: str, by: Sequence[str], rows: int | None = None) -> None:
+    """Replace exactly the folders (of the ``by`` values, such as batch and category) that ``df`` has rows for."""
+    writer = df.hint("rebalance", *by).write.mode("overwrite").option("compression", "zstd")
+    if rows:
+        writer = writer.option("maxRecordsPerFile", rows)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -100,7 +138,7 @@ def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
     """A new version of a small table; older ones stay."""
-    write_parquet(df.coalesce(1), f"{path}/version={version:06d}")
+    write_parquet(df.repartition(1), f"{path}/version={version:06d}")
 
 
 def latest_version(spark: SparkSession, path: str) -> tuple[DataFrame, int]:

@@ -5,6 +5,7 @@ from collections import Counter
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelkit.operators import quality as Q
@@ -150,9 +151,9 @@ def test_publish_modes(spark, tmp_path):
     frames = [spark.range(i, i + 1) for i in range(4)]
     sinks.publish([frames[0]], path, "append")
     sinks.publish(frames[1:3], path, "reload")
-    assert rows(spark.read.parquet(path)) == Counter({(1,): 1, (2,): 1})
+    assert rows(sinks.published(spark, path)) == Counter({(1,): 1, (2,): 1})
     sinks.publish(frames[3:], path, "append")
-    assert spark.read.parquet(path).count() == 3
+    assert sinks.published(spark, path).count() == 3
     with pytest.raises(ValueError, match="publish mode"):
         sinks.publish(frames, path, "x")
 
@@ -200,3 +201,61 @@ def test_observed_counts_come_from_the_write(spark, tmp_path):
     df, seen = Q.observed(spark.createDataFrame([(1, None), (2, 3)], "k int, m int"), "obs")
     sinks.write_parquet(df, str(tmp_path / "o"), level=12)
     assert seen.get == {"__rows": 2, "k": 0, "m": 1}
+
+
+def test_a_reload_that_fails_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    old, new = (spark.range(n).withColumn("x", F.lit(n)) for n in (3, 2))
+    sinks.publish([old], path)
+    with pytest.raises(PySparkException):
+        sinks.publish([new, new.withColumn("x", F.raise_error(F.lit("broken")).cast("int"))], path)
+    assert sinks.published(spark, path).count() == 3
+    sinks.publish([new], path)
+    assert sinks.published(spark, path).count() == 2
+    with pytest.raises(ValueError, match="nothing is published"):
+        sinks.published(spark, f"{tmp_path}/none")
+
+
+def test_batches_stand_side_by_side(spark, tmp_path):
+    rows_of = lambda data: spark.createDataFrame(data, "period_batch int, category string, x int")
+    path = f"{tmp_path}/data"
+    for data in ([(1, "a", 1), (1, "b", 2)], [(2, "a", 3), (2, "c", 4)], [(2, "a", 5)]):
+        sinks.write_batch(rows_of(data), path, ["period_batch", "category"], 10)
+    found = spark.read.parquet(path).select("period_batch", "category", "x")
+    assert rows(found) == Counter([(1, "a", 1), (1, "b", 2), (2, "a", 5), (2, "c", 4)])
+
+
+def test_an_empty_report_can_be_read(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    assert not sinks.write_report(spark.createDataFrame([], "a int"), path)
+    assert spark.read.parquet(path).columns == ["a"] and spark.read.parquet(path).count() == 0
+
+
+def test_codes_in_bitmaps_and_beyond(spark):
+    data = [(1, 32768, "a", None), (1, 32769, None, None), (7, -4, "a", None), (None, 0, "b", None)]
+    df = spark.createDataFrame(data, "k int, big long, name string, none short")
+    want = {("k", "1"), ("k", "7"), ("k", None), ("big", "32768"), ("big", "32769"), ("big", "-4"), ("big", "0")}
+    want |= {("name", "a"), ("name", "b"), ("name", None), ("none", None)}
+    assert rows(Q.codes_in_use(df, df.columns)) == Counter(want)
+    assert Q.codes_in_use(df.limit(0), df.columns).count() == 0 and Q.codes_in_use(df, []).count() == 0
+    plan = Q.codes_in_use(df, ["k", "none"])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
+
+
+def test_a_scope_leaves_only_its_results(spark, tmp_path):
+    import os
+
+    from panelkit.session import side_by_side, stage, staging_root, staging_scope, unstage
+
+    folder = f"{staging_root(spark)}/panelkit"
+    spark.range(1).write.mode("ignore").parquet(f"{folder}/before")
+    before = set(os.listdir(folder))
+    with staging_scope(spark) as keep:
+        side_by_side(lambda: stage(spark.range(2), "a"), lambda: stage(spark.range(3), "b"))
+        with staging_scope(spark) as keep_inner:
+            inner = keep_inner(stage(spark.range(4), "inner"))
+        gone = stage(inner, "gone")
+        unstage(gone, spark.range(1))
+        result = keep(stage(inner.selectExpr("id + 1 AS id"), "result"))
+    assert {n.split("-")[0] for n in set(os.listdir(folder)) - before} == {"result"}
+    assert result.count() == 4

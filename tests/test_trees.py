@@ -155,3 +155,21 @@ def test_ways_into_a_cycle_end(spark):
     with pytest.raises(H.BrokenTreeError):
         nodes(spark, TREE + ring + tail)
     assert set(nodes(spark, TREE + ring + tail, strict=False)) == {1, 10, 11, 110}
+
+
+def test_ties_are_numbered_alike_on_both_ways(spark):
+    data = [("a", i % 3, f"t{i}") for i in range(40)] + [("b", 1, "same")] * 12 + [(None, 2, f"n{i}") for i in range(5)]
+    df = spark.createDataFrame(data, "g string, o int, text string").repartition(4)
+    ways = [with_row_number(df, ["g"], ["o"], "n", one_task_rows=k) for k in (1000, 0, 20)]
+    found = [sorted(map(str, way.collect())) for way in ways]
+    assert found[0] == found[1] == found[2]
+    whole = [sorted(map(str, with_row_number(df, [], ["o"], "n", one_task_rows=k).collect())) for k in (1000, 0)]
+    assert whole[0] == whole[1]
+
+
+def test_no_row_is_shuffled_after_the_range_write(spark):
+    df = spark.range(200).select((F.col("id") % 3).alias("g"), "id", F.lit("long text").alias("text"))
+    plan = with_row_number(df, ["g"], ["id"], "n", one_task_rows=0)._jdf.queryExecution().executedPlan().toString()
+    large = plan[plan.rindex("__first") :]
+    assert "SortMergeJoin" not in plan and plan.count("text#") and "hashpartitioning(g" in plan
+    assert all("text" not in line for line in large.splitlines() if "Exchange" in line)

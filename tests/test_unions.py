@@ -134,3 +134,16 @@ def test_union_widens_and_fills(spark):
     b = spark.createDataFrame([(1 << 40,)], "k long")
     found = U.union_all([a, b], fill=True)
     assert rows(found) == Counter({(1, "x"): 1, (1 << 40, None): 1})
+
+
+def test_large_backfill_checks_old_keys_in_the_join(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, volume double")
+    with pytest.raises(PySparkException, match="repeats"):
+        U.backfill(df, df, ["volume"], limit=0).collect()
+
+
+def test_large_backfill_shuffles_each_side_once(spark):
+    old = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("shop"), F.lit(1.0).alias("spend"), F.lit(None).cast("double").alias("volume"))
+    new = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("shop"), F.rand(1).alias("volume"))
+    plan = U.backfill(old, new, ["volume"], limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "BroadcastExchange" not in plan
