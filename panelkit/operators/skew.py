@@ -14,7 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 from panelkit.session import row_bytes, stage
 
@@ -182,7 +182,9 @@ def join_hot_right(
     else:
         left = left.withColumn("__pieces", F.lit(None).cast("int"))
     # one key that is never null: fields of a struct that are null equal each other
-    key, place = F.struct(*keys).alias("__key"), ["__key", "__piece"] if hot else ["__key"]
+    kinds = left.select(*keys).union(right.select(*keys)).schema
+    kind = StructType([StructField(f.name, f.dataType) for f in kinds])
+    key, place = F.struct(*keys).cast(kind), ["__key", "__piece"] if hot else ["__key"]
     right = right.withColumn("__key", key).select(*place, *values).repartition(*place)
     right = (right.distinct() if distinct else right).withColumn("__matched", F.lit(True))
     left = left.withColumn("__key", key).repartition(*place)

@@ -145,5 +145,9 @@ def test_large_backfill_checks_old_keys_in_the_join(spark):
 def test_large_backfill_shuffles_each_side_once(spark):
     old = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("shop"), F.lit(1.0).alias("spend"), F.lit(None).cast("double").alias("volume"))
     new = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("shop"), F.rand(1).alias("volume"))
-    plan = U.backfill(old, new, ["volume"], limit=0)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2 and "BroadcastExchange" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = U.backfill(old, new, ["volume"], limit=0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
