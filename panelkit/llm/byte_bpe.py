@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import BLOCK_BYTES, BYTE_CODES, Finder, ragged, running_hash, span_hashes, text_blocks
 
-KEPT = 400_000
+KEPT = 250_000
+#: Bytes scanned at once.
+BLOCK = BLOCK_BYTES // 2
 #: Slices longer than this are merged one by one with a heap.
 SHORT = 64
 ENCODED = "doc_id long, n_tokens long, ids binary, ends binary"
@@ -183,16 +185,22 @@ class Vocabulary:
         by_rank = {rank: piece for piece, rank in ranks.items()}
         self.bytes = np.frombuffer(b"".join(by_rank.get(i, b"") for i in range(self.size)), np.uint8)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        merged = {}
-        for piece, rank in ranks.items():
+
+    @functools.cached_property
+    def pair(self) -> dict[int, int]:
+        """Rank that each pair of neighbours (left * size + right) merges to. Decoding needs none of it."""
+        found = {}
+        for piece, rank in self.ranks.items():
             for cut in range(1, len(piece)):
-                left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                left, right = self.ranks.get(piece[:cut]), self.ranks.get(piece[cut:])
                 if left is not None and right is not None:
-                    merged[left * self.size + right] = rank
-        pairs = np.array(sorted(merged), np.uint64)
-        self.finder = Finder(pairs)
-        self.merged = np.array([merged[int(p)] for p in pairs] + [self.size], np.int64)
-        self.pair = merged
+                    found[left * self.size + right] = rank
+        return found
+
+    @functools.cached_property
+    def _pairs(self) -> tuple[Finder, np.ndarray]:
+        pairs = np.array(sorted(self.pair), np.uint64)
+        return Finder(pairs), np.array([self.pair[int(p)] for p in pairs] + [self.size], np.int64)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -202,7 +210,8 @@ class Vocabulary:
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks that pairs of neighbours merge to; ``size`` where they do not."""
-        return self.merged[self.finder.find((left * self.size + right).astype(np.uint64))]
+        finder, merged = self._pairs
+        return merged[finder.find((left * self.size + right).astype(np.uint64))]
 
     def merge_all(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids in a row, number of ids of each slice). In every round each slice merges its first pair of lowest rank."""
@@ -339,7 +348,7 @@ class Encoder:
         per = np.diff(np.append(0, np.cumsum(count))[np.searchsorted(starts, offsets)])
         return ids, ends, per
 
-    def encode_long(self, data: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode_long(self, data: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, ends) of one long text, part by part.
 
         A part ends at a boundary that the bytes after it cannot move: four code points before the end of what was read. A slice longer
@@ -363,7 +372,7 @@ class Encoder:
             done, size = done + end, limit
 
 
-def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", limit: int = BLOCK) -> DataFrame:
     """(doc_id, n_tokens, ids, ends) of every whole text, by the rank file at ``path``.
 
     ``ids`` and ``ends`` are little-endian unsigned 32-bit numbers: the id of each token, and the byte of the text at which
