@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.session import stage
+from panelkit.session import stage, unstage
 
 BLOCK_BYTES = 1 << 21
 
@@ -202,18 +202,24 @@ def components(links: DataFrame, name: str) -> DataFrame:
         hook = stage(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root")), name)
         while True:
             up = hook.select(F.col("id").alias("root"), F.col("root").alias("above"))
-            jumped = stage(hook.join(up, "root").select("id", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")), name)
-            hook = jumped.select("id", "root")
-            if jumped.where("moved").isEmpty():
+            jumped = stage(hook.select("id", "root").join(up, "root").select("id", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")), name)
+            unstage(hook)
+            hook, flat = jumped, jumped.where("moved").isEmpty()
+            if flat:
                 break
+        roots = hook.select("id", "root")
         if found is None:
-            found = hook
+            longer = stage(roots, name)
         else:
-            up = hook.select(F.col("id").alias("root"), F.col("root").alias("above"))
-            found = stage(found.join(up, "root", "left").select("id", F.coalesce("above", "root").alias("root")), name)
-        a = hook.select(F.col("id").alias("a"), F.col("root").alias("ra"))
-        b = hook.select(F.col("id").alias("b"), F.col("root").alias("rb"))
-        links = stage(links.join(a, "a").join(b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), name)
+            up = roots.select(F.col("id").alias("root"), F.col("root").alias("above"))
+            longer = stage(found.join(up, "root", "left").select("id", F.coalesce("above", "root").alias("root")), name)
+            unstage(found)
+        found = longer
+        a = roots.select(F.col("id").alias("a"), F.col("root").alias("ra"))
+        b = roots.select(F.col("id").alias("b"), F.col("root").alias("rb"))
+        left = stage(links.join(a, "a").join(b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), name)
+        unstage(hook, links)
+        links = left
     if found is None:
         return links.select(F.col("a").alias("id"), F.col("b").alias("root"))
     return found

@@ -27,7 +27,7 @@ from panelkit.llm.common import (
     spans,
     text_blocks,
 )
-from panelkit.session import stage, stage_sized
+from panelkit.session import stage, stage_sized, unstage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -228,7 +228,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     sketch = stage(sketches(docs, bands, rows), "near-sketch")
     none = F.col("words") == 0
     identity = F.struct(none.alias("none"), F.when(none, 0).otherwise(F.col("d1")).alias("d1"), F.when(none, F.col("doc_id")).otherwise(F.col("d2")).alias("d2"))
-    ids = sketch.where("doc_id is not null").groupBy("doc_id").agg(F.min(identity).alias("text"))
+    ids = stage(sketch.where("doc_id is not null").groupBy("doc_id").agg(F.min(identity).alias("text")), "near-ids")
     groups = stage(ids.groupBy("text").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "near-texts")
     nodes = groups.where("not text.none").select(F.col("node").alias("doc_id"), "text")
     mine = sketch.where("words > 0").select("doc_id", identity.alias("text"), "keys", "shingles")
@@ -242,10 +242,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         mine.select(F.col("doc_id").alias("id"), "shingles", "text").join(nodes.select(F.col("doc_id").alias("id"), "text"), ["id", "text"]).join(people, "id").select("id", "shingles").dropDuplicates(["id"]),
         "near-sets",
     )
+    unstage(sketch)
     marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
+    unstage(chosen)
     bound = PAIRS * groups.count()
     state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
     labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
+    unstage(members)
     # an intersection c is enough for the similarity s of sizes a and b if c (1 + s) >= s (a + b)
     enough = lambda c, sizes: c * (1 + similarity) + 1e-6 >= sizes * similarity
     fits = enough(F.least("common", "hub_common"), F.col("size") + F.col("hub_size"))
@@ -264,7 +267,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
             weighed = True
             weights = shared_weights(member_sets.join(rest.select("id").distinct(), "id"))
             able = weights.where(enough(F.col("common"), F.col("size") * (1 + similarity)))
-            state, open_rows, _ = stage_sized(rest.drop("size", "common", "label").join(able, "id"), "near-state")
+            fitting, open_rows, _ = stage_sized(rest.drop("size", "common", "label").join(able, "id"), "near-state")
+            unstage(state, labelled, open_)
+            state = fitting
             continue
         last = cost <= bound
         free = rest.where(~F.col("used"))
@@ -274,7 +279,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
             by_company = Window.partitionBy("key").orderBy(F.desc("company"), "id")
             chosen = free.withColumn("place", F.row_number().over(by_company)).where(F.col("place") <= hubs)
             hubs = HUBS
-        chosen = stage(chosen.select("key", *[F.col(c).alias("hub" if c == "id" else f"hub_{c}") for c in ("id", "label", "size", "common")]), "near-hubs")
+        chosen = chosen_hubs = stage(chosen.select("key", *[F.col(c).alias("hub" if c == "id" else f"hub_{c}") for c in ("id", "label", "size", "common")]), "near-hubs")
         if last:
             # a pair that shares an earlier band is left to that one
             signs = marked.select("id", "keys")
@@ -291,14 +296,19 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
         links = stage(tested.mapInArrow(_verify(similarity), "a bigint, b bigint"), "near-links")
         ends = [labels.select(F.col("id").alias(x), F.col("label").alias("l" + x)) for x in "ab"]
         joined = components(links.join(ends[0], "a").join(ends[1], "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), "near-roots")
-        labels = stage(labels.join(joined.select(F.col("id").alias("label"), "root"), "label", "left").select("id", F.coalesce("root", "label").alias("label")), "near-labels")
+        relabelled = stage(labels.join(joined.select(F.col("id").alias("label"), "root"), "label", "left").select("id", F.coalesce("root", "label").alias("label")), "near-labels")
+        unstage(labels, links)
+        labels = relabelled
         if last:
+            unstage(state, labelled, open_, chosen_hubs, marked, member_sets)
             break
         used = chosen.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
-        state, open_rows, _ = stage_sized(
+        following, open_rows, _ = stage_sized(
             rest.join(used, ["key", "id"], "left").select("key", "band", "id", "company", "size", "common", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
             "near-state",
         )
+        unstage(state, labelled, open_, chosen_hubs)
+        state = following
     classes = groups.join(labels.withColumnRenamed("id", "node"), "node", "left")
     classes = classes.select("text", F.coalesce("label", "node").alias("class_id"), "copies")
     return ids.join(classes, "text").select("doc_id", "class_id", "copies")
