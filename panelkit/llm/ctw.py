@@ -22,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import LOWER, Finder, held_out, running_hash, span_hashes, spans, text_blocks
-from panelkit.session import stage
+from panelkit.session import stage, unstage
 
 DEPTH = 5
+#: Rows of one Arrow batch of a block's keys.
+TOLD = 1 << 17
 BLOCK = 40 << 20
 WORD, GRAM = 0, 1
 #: Marks a gram whose last place is the end of the text instead of a byte.
@@ -90,13 +92,32 @@ def _blocked(limit: int):
 def _ask(batches, ends: bool = False):
     """The distinct words and contexts of each block with their counts; a block that two tasks read is told twice."""
 
+    def merged(*parts):
+        """Counted keys of several parts as one; every part has distinct keys in order."""
+        key, known, total = (np.concatenate(p) for p in zip(*parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        key, known, total = key[order], known[order], total[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        return key[first], *(np.add.reduceat(x, first) if len(first) else x for x in (known, total))
+
+    def taken(stack, part):
+        """Put a part on a stack whose parts at least halve in size, so that merging copies little and holds few keys twice."""
+        stack.append(tuple(x if x.dtype == np.uint64 else x.astype(np.int32) for x in part))
+        while len(stack) > 1 and len(stack[-2][0]) < 2 * len(stack[-1][0]):
+            last = stack.pop()
+            stack.append(merged(stack.pop(), last))
+
     def told(block, found):
-        for kind, parts in found.items():
-            key, a, b = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
-            distinct, at = np.unique(key, return_inverse=True)
-            n = len(distinct)
-            known, total = (np.bincount(at, x, n).astype(np.int64) for x in (a, b))
-            yield pa.RecordBatch.from_pydict({"block": np.full(n, block, np.int64), "kind": np.full(n, kind, np.int32), "key": distinct.view(np.int64), "known": known, "total": total})
+        for kind, stack in found.items():
+            while len(stack) > 1:
+                last = stack.pop()
+                stack.append(merged(stack.pop(), last))
+            key, known, total = stack.pop() if stack else (np.zeros(0, np.uint64),) * 3
+            for i in range(0, len(key), TOLD):
+                part = slice(i, i + TOLD)
+                n = len(key[part])
+                columns = {"block": np.full(n, block, np.int64), "kind": np.full(n, kind, np.int32), "key": key[part].view(np.int64)}
+                yield pa.RecordBatch.from_pydict(columns | {"known": known[part].astype(np.int64), "total": total[part].astype(np.int64)})
 
     block, found = None, None
     for batch in batches:
@@ -106,7 +127,7 @@ def _ask(batches, ends: bool = False):
             if blocks[begin] != block:
                 if found:
                     yield from told(block, found)
-                block, found = int(blocks[begin]), {WORD: ([], [], []), GRAM: ([], [], [])}
+                block, found = int(blocks[begin]), {WORD: [], GRAM: []}
             learns = ~batch.column(1).slice(begin, stop - begin).to_numpy(zero_copy_only=False).astype(bool)
             for first, end, data, offsets in text_blocks(batch.column(2).slice(begin, stop - begin)):
                 low, taught = LOWER[data], learns[first:end]
@@ -114,9 +135,8 @@ def _ask(batches, ends: bool = False):
                 asked = [(WORD, _counted(key, taught[doc])), (GRAM, _counted(grams(low, offsets), np.repeat(taught, np.diff(offsets))))]
                 if ends:
                     asked.append((GRAM, _counted(end_grams(low, offsets), taught)))
-                for kind, parts in asked:
-                    for to, what in zip(found[kind], parts, strict=True):
-                        to.append(what)
+                for kind, part in asked:
+                    taken(found[kind], part)
     if found:
         yield from told(block, found)
 
@@ -186,7 +206,8 @@ def context_tree(counts: DataFrame, depth: int = DEPTH, ends: bool = False) -> l
             found.append(here.select("x", "m", p1))
             break
         table = stage(here.select("x", "m", p1, (F.col("mixed") + F.col("left") * F.col("share") * F.col("own")).alias("mixed"), (F.col("left") * (1 - F.col("share"))).alias("left")), "ctw-down")
-        found.append(table.select("x", "m", "p1"))
+        unstage(levels[d])
+        found.append(table)
         above = table.select(F.col("x").alias("up"), "m", "mixed", "left")
     return found
 
@@ -204,11 +225,12 @@ def code_lengths(asked: DataFrame, counts: DataFrame, depth: int = DEPTH, ends:
     value = f"CASE WHEN forall(p, x -> x IS NOT NULL) THEN aggregate(zip_with({steps}, p, (s, x) -> log10(IF(s.bit = 1, x, 1 - x))), 0D, (a, b) -> a + b) END"
     values = []
     for d in range(depth, -1, -1):
-        nodes = tree[d].groupBy("x").agg(F.map_from_entries(F.collect_list(F.struct("m", "p1"))).alias("nodes"))
+        nodes = tree[d].select("x", "m", "p1").groupBy("x").agg(F.map_from_entries(F.collect_list(F.struct("m", "p1"))).alias("nodes"))
         met = open_.withColumn("x", _context().bitwiseAND((1 << (8 * d)) - 1)).join(nodes, "x", "left")
         met = met.select("gram", F.expr(f"transform({steps}, (s, i) -> coalesce(p[i], try_element_at(nodes, s.m)))").alias("p"))
         met = met.withColumn("value", F.expr(value))
         met = stage(met.select("gram", "value", F.when(F.col("value").isNull(), F.col("p")).alias("p")), "ctw-met")
+        unstage(tree[d])  # the deepest is no table, and all that it reads is kept
         values.append(met.where("value is not null").select("gram", "value"))
         open_ = met.where("value is null").select("gram", "p")
     never = open_.withColumn("p", F.expr("transform(p, x -> coalesce(x, 0.5D))"))
