@@ -248,7 +248,7 @@ def _score(unknown: float, ends: bool):
             distinct, first = np.unique(key[own], return_index=True)
             sets.append((Finder(distinct), value[own][first]))
         learns = ~texts.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-        out = {"n_words": [], "n_seen": [], "base": [], "score": []}
+        out = {"n_words": [], "n_seen": [], "n_bytes": [], "base": [], "score": []}
         for first, end, data, offsets in text_blocks(texts.column("text")):
             n = end - first
             low = LOWER[data]
@@ -257,6 +257,7 @@ def _score(unknown: float, ends: bool):
             # a word that stands once in all texts has no answer: it is known only to its own text, if that one teaches
             count = np.where(at >= 0, sets[WORD][1][at] if len(sets[WORD][1]) else 0, learns[first:end][doc])
             out["n_words"].append(np.bincount(doc, minlength=n))
+            out["n_bytes"].append(np.diff(offsets))
             out["n_seen"].append(np.bincount(doc[count > 0], minlength=n))
             out["base"].append(np.bincount(doc, np.log10(count + 1), n) + unknown * np.bincount(doc, minlength=n))
             where = sets[GRAM][0].find(grams(low, offsets))
@@ -272,19 +273,20 @@ def _score(unknown: float, ends: bool):
             out["score"].append(total)
         columns = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
         return pa.Table.from_arrays(
-            [texts.column("doc_id"), texts.column("held_out"), *(pa.array(columns[k], t) for k, t in (("n_words", pa.int64()), ("n_seen", pa.int64()), ("base", pa.float64()), ("score", pa.float64())))],
-            names=["doc_id", "held_out", "n_words", "n_seen", "base", "score"],
+            [texts.column("doc_id"), texts.column("held_out"), *(pa.array(columns[k], t) for k, t in (("n_words", pa.int64()), ("n_seen", pa.int64()), ("n_bytes", pa.int64()), ("base", pa.float64()), ("score", pa.float64())))],
+            names=["doc_id", "held_out", "n_words", "n_seen", "n_bytes", "base", "score"],
         )
 
     return run
 
 
-def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK, ends: bool = False) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and code_bits_per_byte of every row.
+def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK, ends: bool = False, code_length: bool = False) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and, with ``code_length``, code_bits_per_byte of every row.
 
     Learned from the rows outside the held-out fold. ``base_score`` is that of a smoothed unigram over
     lower-cased words and one end per text; ``score`` the log10 probability of the bytes of the lower-cased text,
     with ``ends`` also of no end before each byte and of the end after the last, so that the texts' probabilities sum to one.
+    ``code_bits_per_byte`` is the code length that the score stands for, per byte of the text; null for an empty text.
     A null text is an empty one, with the end as its only token (score 0 without ``ends``). Rows that repeat
     count and are scored each for itself; null ids are learned from; an empty table gives no rows.
     """
@@ -302,9 +304,10 @@ def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK,
     answers = asked.select("block", "kind", "key").join(values, ["kind", "key"])
     unknown = -math.log10(tokens + distinct + 1)
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(unknown, ends), "doc_id bigint, held_out boolean, n_words bigint, n_seen bigint, base double, score double"
+        _score(unknown, ends), "doc_id bigint, held_out boolean, n_words bigint, n_seen bigint, n_bytes bigint, base double, score double"
     )
     end_known = F.lit(1 if taught else 0)
+    bits = F.when(F.col("n_bytes") > 0, -F.col("score") * math.log2(10) / F.col("n_bytes")).alias("code_bits_per_byte")
     return scored.select(
         "doc_id",
         "held_out",
@@ -313,6 +316,7 @@ def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK,
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + math.log10(taught + 1) + unknown).alias("base_score"),
         "score",
+        *([bits] if code_length else []),
     )
 
 

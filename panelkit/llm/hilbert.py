@@ -92,6 +92,14 @@ def _distinct(vectors: DataFrame, k: int) -> DataFrame:
     return whole.select(F.col("ids")[0].alias("node"), "vec", "ids")
 
 
+def _even(v: np.ndarray, width: int) -> np.ndarray:
+    """The vector at full width, and scaled by a power of two so that its largest component is from 1/2 to 1: squares neither overflow nor vanish."""
+    exponent = int(np.frexp(np.abs(v).max())[1])
+    # in two steps: the power itself may be beyond the range of a double
+    scaled = np.ldexp(np.ldexp(v, -(exponent // 2)), exponent // 2 - exponent)
+    return np.append(scaled, np.zeros(width - len(v))) + 0.0
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of the rows of a with those of b, in double precision."""
     return (a @ b.T) / np.sqrt((a * a).sum(1))[:, None] / np.sqrt((b * b).sum(1))[None, :]
@@ -150,8 +158,8 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, id: str = "ve
     """The k rows of largest cosine found for each query row: query_id, rank (from 1), vec_id, score.
 
     A query is never its own neighbour, ties go to the smaller id. Vectors that are null, zero or hold null or
-    non-finite components take no part, nor do null ids; vectors of another length than the
-    longest take no part either. Equal vectors stand in the index once, with as many ids as an answer
+    non-finite components take no part, nor do null ids; missing components of a shorter vector count as 0.
+    Very large and very small vectors are scaled by a power of two first, which no cosine feels. Equal vectors stand in the index once, with as many ids as an answer
     can need, so copies cost nothing. ``queries`` must be rows of ``vectors``. Repeated rows count once. Extra columns are ignored.
 
     ``sample`` queries (lowest id hash) are answered exactly to find the window that catches the share ``catch``
@@ -160,11 +168,10 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, id: str = "ve
 
     plain = vectors.where(usable(vector) & F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(F.exists("v", lambda x: x != 0))
     width = plain.agg(F.max(F.size("v"))).first()[0] or 0
-    plain = plain.where(F.size("v") == width)
 
     def packed(batches):
         for batch in batches:
-            raw = [np.asarray(x, np.float64).tobytes() for x in batch.column(1).to_pylist()]
+            raw = [_even(np.asarray(x, np.float64), width).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "vec"])
 
     rows = stage(plain.withColumn("v", F.transform("v", lambda x: x + 0.0)).mapInArrow(packed, "id bigint, vec binary"), "curve-rows")

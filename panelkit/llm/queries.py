@@ -99,7 +99,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_context_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document with its end under the context tree, and under smoothed unigrams."""
-    return ctw.score(read(spark, sf_dir, "documents"), ends=True)
+    return ctw.score(read(spark, sf_dir, "documents"), ends=True, code_length=True)
 
 
 @query()

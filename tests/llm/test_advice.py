@@ -8,7 +8,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from panelkit.llm import ctw, langid, line_dedup, topk
+from panelkit.llm import ctw, hilbert, langid, line_dedup, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -69,3 +69,31 @@ def test_repeated_candidates_take_one_place():
     scores = np.array([[9], [9], [9], [8], [5], [4], [7]], np.float32)
     q, ids, value = topk.best(scores, np.array([1, 1, 1, 1, 2, 3, 3]), np.array([50]), 3)
     assert ids.tolist() == [1, 3, 2] and value.tolist() == [9, 7, 5] and q.tolist() == [0, 0, 0]
+
+
+def test_code_length_per_byte(spark):
+    table = spark.createDataFrame([(i, "abc" * 20, "en", "s", 1) for i in range(10)] + [(20, "", "en", "s", 0), (21, None, "en", "s", 0)], DOCS)
+    found = {r.doc_id: r for r in ctw.score(table, ends=True, code_length=True).collect()}
+    assert found[20].code_bits_per_byte is None and found[21].code_bits_per_byte is None
+    assert abs(found[1].code_bits_per_byte + found[1].score * math.log2(10) / 60) < 1e-12
+
+
+def test_vectors_of_any_length_and_size_find_their_neighbours(spark):
+    rnd = np.random.default_rng(6)
+    rows = {i: rnd.normal(size=16) for i in range(300)}
+    rows[300], rows[301] = rnd.normal(size=17), rows[5][:9]
+    rows[350], rows[352], rows[354] = rows[7] * 1e200, rows[8] * 1e-200, rows[9] * 1e300
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id long, embedding array<double>")
+    found = {}
+    for r in hilbert.neighbours(table, table.where("vec_id % 50 = 0 or vec_id in (7, 8, 9)"), 5).collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(found) == {0, 50, 100, 150, 200, 250, 300, 350, 7, 8, 9} and all(len(x) == 5 for x in found.values())
+    assert found[7][0][0] == 350 and found[350][0][0] == 7 and found[8][0][0] == 352 and found[9][0][0] == 354
+    assert abs(found[350][0][1] - 1) < 1e-12
+    unit = {i: hilbert._even(v, 17) / np.linalg.norm(hilbert._even(v, 17)) for i, v in rows.items()}
+    hits = 0
+    for q, got in found.items():
+        best = sorted((-float(unit[q] @ unit[c]), c) for c in rows if c != q)[:5]
+        hits += len({c for _, c in best} & {c for c, _ in got})
+        assert all(abs(s - float(unit[q] @ unit[c])) < 1e-9 for c, s in got)
+    assert hits >= 0.9 * 5 * len(found)
