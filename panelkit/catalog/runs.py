@@ -54,10 +54,10 @@ OLD_SQL = f"""{CELLS_SQL},
       FROM (SELECT DISTINCT k, bid FROM facts WHERE demo_lvls = 2))"""
 
 
-def _prepared(base, dims):
+def _prepared(base, dims, **options):
     # Read several times by the plan, so written once, as a delivered file would be.
     raw = stage(panel.old_raw(base), "old-raw")
-    return old_format.prepare(raw, dims.products, dims.demo)
+    return old_format.prepare(raw, dims.products, dims.demo, **options)
 
 
 @query(
@@ -122,9 +122,9 @@ def _registered(base, raw):
     return stage(register_periods(labelled, panel.first_registry(base), "2024-06-01"), "registry")
 
 
-def _recoded(base, dims, registry):
-    facts = _prepared(base, dims).facts
-    return old_format.recode(facts, dims.products, dims.demo, dims.segments, registry, dims.types)
+def _recoded(base, dims, registry, **options):
+    facts = _prepared(base, dims, **options).facts
+    return old_format.recode(facts, dims.products, dims.demo, dims.segments, registry, dims.types, **options)
 
 
 @query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL} SELECT * FROM old_coded")
@@ -134,6 +134,13 @@ def old_format_recoded(spark, sf_dir):
     return _recoded(base, dims, registry)
 
 
+@query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL} SELECT * FROM old_coded")
+def large_old_format_recoded(spark, sf_dir):
+    """The same run the way it goes when no dictionary and no tree is small enough to broadcast."""
+    base, dims, _, registry = _inputs(spark, sf_dir)
+    return _recoded(base, dims, registry, limit=0)
+
+
 @query(
     f"""WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL},
     missed AS (SELECT * REPLACE (nullif(cat_segment, 6) AS cat_segment) FROM old_coded)
@@ -186,8 +193,8 @@ def _inputs(spark, sf_dir):
     return base, dims, raw, _registered(base, raw)
 
 
-def _processed(raw, dims, registry):
-    return new_format.process(raw, dims, registry, RENAMES, WANTED)
+def _processed(raw, dims, registry, **options):
+    return new_format.process(raw, dims, registry, RENAMES, WANTED, **options)
 
 
 @query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {NEW_SQL} {shared_sql('new_coded', NEW_KEYS)}")
@@ -197,6 +204,13 @@ def new_format_processed(spark, sf_dir):
     return _processed(raw, dims, registry)
 
 
+@query(f"WITH {OLD_SQL}, {PERIODS_SQL}, {NEW_SQL} {shared_sql('new_coded', NEW_KEYS)}")
+def large_new_format_processed(spark, sf_dir):
+    """The same run the way it goes when no dictionary is small enough to broadcast."""
+    _, dims, raw, registry = _inputs(spark, sf_dir)
+    return _processed(raw, dims, registry, limit=0)
+
+
 MERGED_SQL = f"""WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL}, {NEW_SQL},
     new_plain AS (SELECT * EXCLUDE (file), NULL::DOUBLE AS occasions FROM new_coded),
     filled AS (SELECT o.* EXCLUDE (volume_su), n.volume_su FROM old_coded o LEFT JOIN new_plain n

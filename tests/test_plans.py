@@ -209,3 +209,27 @@ def test_export(spark, new_facts, dims, grown, tmp_path):
     latest = str(tmp_path / "latest")
     export.export(new_facts, sources, latest, registry=grown)
     assert {r.period_lbl for r in spark.read.parquet(f"{latest}/data").select("period_lbl").collect()} == {2}
+
+
+def test_large_runs_join_each_dictionary_once(spark, old_raw, dims, registry, monkeypatch):
+    from panelkit.operators import skew
+
+    passes = []
+    found = skew.HotKeys._find
+    monkeypatch.setattr(skew.HotKeys, "_find", lambda self: passes.append(self.key_sets) or found(self))
+    prepared = old_format.prepare(old_raw, dims.products, dims.demo)
+    facts = stage(prepared.facts, "facts")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        coded = old_format.recode(facts, dims.products, dims.demo, dims.segments, registry, dims.types, limit=0)
+        plan = coded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    # one pass for the hot keys of seven lookups, and no join before the last is planned again
+    assert [len(k) for k in passes] == [7]
+    assert plan.count("SortMergeJoin") == 7 and plan.count("panel_sample_size") <= 1
+    small = old_format.recode(facts, dims.products, dims.demo, dims.segments, registry, dims.types)
+    assert sorted(map(str, coded.collect())) == sorted(map(str, small.collect()))
