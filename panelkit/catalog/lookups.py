@@ -131,3 +131,18 @@ def adaptive_lookup(spark, sf_dir):
     )
     found = L.adaptive_lookup(facts, dim, "label", ["short_label", "full_label"], ["p_type"], validate=True)
     return found.select("p_partkey", "code")
+
+
+@query(
+    """SELECT p.p_partkey, d.code FROM part p
+    LEFT JOIN (SELECT p_type, p_name, min(p_partkey) AS code FROM part GROUP BY 1, 2) d USING (p_type, p_name)"""
+)
+def adaptive_lookup_first_key(spark, sf_dir):
+    """Short names, all of which the dictionary knows, so that the full labels are not tried."""
+    part = table(spark, sf_dir, "part")
+    facts = part.select("p_partkey", "p_type", F.col("p_name").alias("label"))
+    dim = part.groupBy("p_type", F.col("p_name").alias("short_label")).agg(
+        F.min("p_partkey").alias("code"), F.min(F.concat_ws("/", "p_brand", "p_name")).alias("full_label")
+    )
+    found = L.adaptive_lookup(facts, dim, "label", ["short_label", "full_label"], ["p_type"], validate=True)
+    return found.select("p_partkey", "code")
