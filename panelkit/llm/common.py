@@ -168,7 +168,7 @@ def list_array(values: np.ndarray, width: int, kind: pa.DataType) -> pa.Array:
 def ranked(df: DataFrame, order: list[str], rank: str, name: str, pieces: int | None = None) -> DataFrame:
     """Number all rows from 0 in the given order, which must be a total one.
 
-    Rows are sorted by range and written once; only the row count of each piece goes to the driver.
+    Rows are sorted by range and written once; only the row count of each piece goes to the driver. ``unstage`` takes the result.
     """
     spark = df.sparkSession
     pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -181,11 +181,13 @@ def ranked(df: DataFrame, order: list[str], rank: str, name: str, pieces: int |
         offsets.append((p, total))
         total += n
     offset = spark.createDataFrame(offsets, "__p long, __offset long")
-    return (
+    found = (
         staged.join(F.broadcast(offset), part == F.col("__p"))
         .withColumn(rank, F.col("__offset") + F.col("__row").bitwiseAND((1 << 33) - 1))
         .drop("__row", "__p", "__offset")
     )
+    found.staged_path = staged.staged_path
+    return found
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Line deduplication by ranks of line-id prefixes, made with distributed prefix doubling.
+"""Line deduplication by a suffix array of line ids, made with distributed prefix doubling.
 
-Only lines that occur more than once can belong to a repeated run, so the ranks cover just
+Only lines that occur more than once can belong to a repeated run, so the array covers just
 them. Round by round the rank of a suffix by its first 1, 2, 4, .. lines is made from two ranks of
-half the length. Two suffixes share m lines exactly if their ranks of h lines are equal at both
-ends of the stretch (h the power of two at or below m). Windows just long enough that agree so
-stand in for the intervals of a longest-common-prefix array, which is not built: full suffixes are
-not ordered. Of every repeated window all places but the first in the corpus are deleted.
+half the length, until no rank is told apart any more: then suffixes of one rank are equal to the
+end of their runs. Neighbouring ranks are compared for their longest common prefix, and cutting the
+array wherever that is shorter than m lines leaves the intervals of suffixes that share m lines. Of
+every interval whose m lines are long enough all places but the first in the corpus are deleted.
 """
 
 from __future__ import annotations
@@ -57,24 +57,64 @@ def words_of(line: Column) -> Column:
     return F.when(plain == "", 1).when(F.contains(plain, F.lit("  ")) | other, by_sign).otherwise(blanks + 1)
 
 
-def suffix_ranks(runs: DataFrame, longest: int) -> tuple[DataFrame, int]:
-    """``runs`` with columns r0, r1, ..: the rank of each suffix by its first 1, 2, 4, .. lines.
+def suffix_ranks(runs: DataFrame) -> tuple[DataFrame, int]:
+    """``runs`` with ``line``, the number of the line id, and ``rank``, that of the suffix; and the number of ranks.
 
-    Ranks are those of a suffix array over the line ids (order of the ids), equal ranks mean equal
-    lines; a run that ends early counts as followed by rank -1. Doubling stops once ``longest`` lines are told apart.
+    Ranks are 0, 1, .. in the order of a suffix array over the line numbers; a run that ends early counts as followed
+    by -1. Equal ranks mean equal suffixes. Doubling ends with the first round that tells no two suffixes apart, as no later one would.
     """
-    keys = ranked(runs.select("h1", "h2").distinct(), ["h1", "h2"], "r0", "line-keys")
-    table = stage(sized_join(runs, keys, ["h1", "h2"], "inner").drop("h1", "h2"), "line-ranks")
-    level = 0
-    while 2 ** (level + 1) <= longest:
+    keys = ranked(runs.select("h1", "h2").distinct(), ["h1", "h2"], "line", "line-keys")
+    table = stage(sized_join(runs, keys, ["h1", "h2"], "inner").drop("h1", "h2").withColumn("rank", F.col("line")), "line-ranks")
+    known, step = keys.count(), 1
+    unstage(keys)
+    while True:
         along = Window.partitionBy("d1", "d2", "run").orderBy("pos")
-        ahead = F.coalesce(F.lead(f"r{level}", 2**level).over(along), F.lit(-1).cast("long"))
+        ahead = F.coalesce(F.lead("rank", step).over(along), F.lit(-1).cast("long"))
         paired = stage(table.withColumn("ahead", ahead), "line-pairs")
-        pairs = ranked(paired.select(f"r{level}", "ahead").distinct(), [f"r{level}", "ahead"], f"r{level + 1}", "line-keys")
-        longer = stage(sized_join(paired, pairs, [f"r{level}", "ahead"], "inner").drop("ahead"), "line-ranks")
-        unstage(table, paired)
-        table, level = longer, level + 1
-    return table, level
+        pairs = ranked(paired.select("rank", "ahead").distinct(), ["rank", "ahead"], "longer", "line-keys")
+        found = pairs.count()
+        if found == known:
+            unstage(paired, pairs)
+            return table, known
+        longer = stage(sized_join(paired, pairs, ["rank", "ahead"], "inner").drop("ahead", "rank").withColumnRenamed("longer", "rank"), "line-ranks")
+        unstage(table, paired, pairs)
+        table, known, step = longer, found, 2 * step
+
+
+def common_prefixes(table: DataFrame, longest: int) -> DataFrame:
+    """(rank, lcp) of every rank of ``suffix_ranks``: how many lines it shares with the rank before it.
+
+    Lines are compared up to ``longest``. The first rank shares none.
+    """
+    onward = Window.partitionBy("d1", "d2", "run").orderBy("pos").rowsBetween(0, longest - 1)
+    suffixes = table.select("rank", F.collect_list("line").over(onward).alias("lines"))
+    classes = stage(suffixes.groupBy("rank").agg(F.first("lines").alias("lines")), "line-suffixes")
+    above = classes.select((F.col("rank") + 1).alias("rank"), F.col("lines").alias("above"))
+    # the shorter one is filled up with nulls, which equal no line
+    differs = F.array_position(F.zip_with("lines", "above", lambda x, y: x.eqNullSafe(y)), False)
+    shared = F.when(F.col("above").isNull(), 0).when(differs == 0, F.size("lines")).otherwise(differs - 1)
+    found = stage(classes.join(above, "rank", "left").select("rank", shared.cast("int").alias("lcp")), "line-prefixes")
+    unstage(classes)
+    return found
+
+
+def interval_starts(prefixes: DataFrame, count: int, longest: int) -> DataFrame:
+    """(rank, starts) of every rank: ``starts[m - 1]`` is the first rank of the interval that shares m lines with it, m up to ``longest``.
+
+    That is the last rank, up to its own, whose common prefix is shorter than m. The array is scanned in pieces of consecutive
+    ranks, at most 10,000 of them; what a piece hands on to the next are ``longest`` numbers.
+    """
+    size = max(1 << 14, -(-count // 10_000))
+    pieces = prefixes.withColumn("piece", F.floor(F.col("rank") / size))
+    names = [f"s{m}" for m in range(1, longest + 1)]
+    cuts = [F.max(F.when(F.col("lcp") < m, F.col("rank"))) for m in range(1, longest + 1)]
+    ends = pieces.groupBy("piece").agg(*[c.alias(n) for n, c in zip(names, cuts, strict=True)])
+    before = Window.partitionBy(F.lit(0)).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select("piece", *[F.max(n).over(before).alias(n) for n in names])
+    within = Window.partitionBy("piece").orderBy("rank")
+    scanned = pieces.select("rank", "piece", *[c.over(within).alias(f"own_{n}") for n, c in zip(names, cuts, strict=True)])
+    joined = scanned.join(F.broadcast(handed), "piece")
+    return joined.select("rank", F.array(*[F.coalesce(f"own_{n}", n) for n in names]).alias("starts"))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -106,28 +146,24 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     unstage(lines, often)
     longest = runs.agg(F.max(F.greatest("forward", "backward"))).first()[0] or 1
-    table, levels = suffix_ranks(runs, longest)
-    start = F.col("pos") - F.col("backward") + 1
+    table, count = suffix_ranks(runs)
+    place = ["d1", "d2", "run", "pos"]
+    back = table.where("backward is not null").select("d1", "d2", "run", (F.col("pos") - F.col("backward") + 1).cast("int").alias("pos"), F.col("backward").alias("m"))
     stretches = (
-        table.where("forward is not null").select("d1", "d2", "run", "pos", F.col("forward").alias("m"))
-        .unionByName(table.where("backward is not null").select("d1", "d2", "run", start.cast("int").alias("pos"), F.col("backward").alias("m")))
+        table.where("forward is not null").select(*place, "rank", F.col("forward").alias("m"))
+        .unionByName(back.join(table.select(*place, "rank"), place))
+        .select("d1", "d2", "pos", "m", "rank")
         .distinct()
     )
-    level = F.floor(F.log2("m") + 1e-9).cast("int")
-    ranks = table.select("d1", "d2", "run", "pos", F.array(*[f"r{i}" for i in range(levels + 1)]).alias("ranks"))
-    both = (
-        stretches.withColumn("level", level)
-        .join(ranks, ["d1", "d2", "run", "pos"])
-        .withColumn("head", F.expr("ranks[level]"))
-        .drop("ranks")
-        .withColumn("tail_pos", F.expr("cast(pos + m - shiftleft(1, level) AS int)"))
-        .join(ranks.withColumnRenamed("pos", "tail_pos"), ["d1", "d2", "run", "tail_pos"])
-        .select("d1", "d2", "pos", "m", "head", F.expr("ranks[level]").alias("tail"))
-    )
-    both = stage(both, "line-stretches")
-    unstage(runs, table)
-    first = both.groupBy("m", "head", "tail").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d1", "d2", "pos")).alias("first")).where("n > 1").drop("n")
-    later = sized_join(both, first, ["m", "head", "tail"], "inner").where("struct(d1, d2, pos) > first").select("d1", "d2", F.col("pos").alias("s"), (F.col("pos") + F.col("m")).cast("int").alias("e"))
+    stretches = stage(stretches, "line-stretches")
+    prefixes = common_prefixes(table, longest)
+    starts, _, bytes_ = stage_sized(interval_starts(prefixes, count, longest), "line-intervals")
+    unstage(runs, table, prefixes)
+    both = sized_join(stretches, starts, ["rank"], "inner", measured=bytes_).select("d1", "d2", "pos", "m", F.expr("starts[m - 1]").alias("start"))
+    both = stage(both, "line-places")
+    unstage(stretches, starts)
+    first = both.groupBy("m", "start").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d1", "d2", "pos")).alias("first")).where("n > 1").drop("n")
+    later = sized_join(both, first, ["m", "start"], "inner").where("struct(d1, d2, pos) > first").select("d1", "d2", F.col("pos").alias("s"), (F.col("pos") + F.col("m")).cast("int").alias("e"))
     by_doc = Window.partitionBy("d1", "d2").orderBy("s", "e")
     reached = F.max("e").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     islands = later.distinct().withColumn("new", F.when(F.coalesce(reached, F.lit(-1)) < F.col("s"), 1).otherwise(0)).withColumn("island", F.sum("new").over(by_doc))

@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelkit.llm import ctw, hilbert, langid, line_dedup, topk
@@ -97,3 +98,24 @@ def test_vectors_of_any_length_and_size_find_their_neighbours(spark):
         hits += len({c for _, c in best} & {c for c, _ in got})
         assert all(abs(s - float(unit[q] @ unit[c])) < 1e-9 for c, s in got)
     assert hits >= 0.9 * 5 * len(found)
+
+
+def test_suffix_array_and_its_intervals(spark):
+    rnd = random.Random(4)
+    texts = [[rnd.randrange(3) for _ in range(rnd.randrange(1, 25))] for _ in range(12)] + [[1, 2] * 20, [1, 2] * 20, [0]]
+    rows = [(d, 0, 0, p, x, 0) for d, t in enumerate(texts) for p, x in enumerate(t)]
+    runs = spark.createDataFrame(rows, "d1 long, d2 long, run int, pos int, h1 long, h2 long")
+    table, count = line_dedup.suffix_ranks(runs)
+    found = {(r.d1, r.pos): r.rank for r in table.collect()}
+    suffixes = {(d, p): t[p:] for d, t in enumerate(texts) for p in range(len(t))}
+    order = sorted({tuple(s) for s in suffixes.values()})
+    assert count == len(order) and found == {k: order.index(tuple(s)) for k, s in suffixes.items()}
+    shared = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    prefixes = line_dedup.common_prefixes(table, 8)
+    lcp = {r.rank: r.lcp for r in prefixes.collect()}
+    assert lcp == {i: min(8, shared(order[i - 1], order[i])) if i else 0 for i in range(len(order))}
+    # copies of the array far apart, so that intervals are handed from piece to piece
+    n = 40_000
+    wide = spark.range(n).select(F.col("id").alias("rank"), F.when(F.col("id") % 30_000 == 0, 0).when(F.col("id") % 7 == 0, 1).otherwise(2).cast("int").alias("lcp"))
+    starts = {r.rank: r.starts for r in line_dedup.interval_starts(wide, n, 2).where("rank % 997 = 0").collect()}
+    assert len(starts) == 41 and all(v == [i // 30_000 * 30_000, max(i // 7 * 7, i // 30_000 * 30_000)] for i, v in starts.items())
