@@ -40,8 +40,8 @@ def held_out(n: int, rest: int, column: str = "doc_id") -> Column:
     return F.coalesce(fold(n, column) == rest, F.lit(False))
 
 
-def label_sample(labels: DataFrame, label: str, n: int, rest: int, bound: int) -> DataFrame:
-    """At most ``bound`` labelled ids (doc_id, label) outside the held-out fold, lowest hash first.
+def usable_labels(labels: DataFrame, label: str, n: int, rest: int) -> DataFrame:
+    """(doc_id, label) of all labelled ids outside the held-out fold.
 
     Null ids and null labels are left out; an id with several labels gets their majority.
     """
@@ -50,11 +50,14 @@ def label_sample(labels: DataFrame, label: str, n: int, rest: int, bound: int) -
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(n, rest))
         .groupBy("doc_id")
         .agg(F.when(F.avg("label") >= 0.5, 1).otherwise(0).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(bound)
     )
 
 
+def label_sample(labels: DataFrame, label: str, n: int, rest: int, bound: int) -> DataFrame:
+    """At most ``bound`` of the ``usable_labels``, lowest hash of the id first."""
+    return usable_labels(labels, label, n, rest).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and where each text begins; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

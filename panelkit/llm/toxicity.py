@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import LOWER, Finder, held_out, label_sample, mix, text_blocks
+from panelkit.llm.common import LOWER, Finder, held_out, label_sample, mix, text_blocks, usable_labels
 from panelkit.session import stage
 
 POSITIVES = 4096
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", n: int = 3, re
     are most over-represented in the positives (three times at least) are kept. Without a confirmed document every
     score is near 0.
     """
-    usable = label_sample(labels, label, n, rest, 2**31 - 1)
+    usable = usable_labels(labels, label, n, rest)
     totals = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     none = Model(np.zeros(0, np.uint64), np.zeros(0), -10.0, 0.0)
     if not totals[1]:
