@@ -192,16 +192,18 @@ def fit(docs: DataFrame, n: int = 5, rest: int = 0, windows: int = WINDOWS, wind
     """Fit on about ``windows`` windows of ``window`` bytes per language, outside the held-out fold.
 
     Documents are drawn by the hash of id and text, in proportion to what their language needs, and
-    their window lies at a hashed place of the text. Only text and non-null lang are read. The
+    their window lies at a hashed place of the text. Rows equal in id, text and lang count as one, and every language
+    gets the document of the lowest hash at least. Only text and non-null lang are read. The
     languages are all values of lang; without any there is no network.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(n, rest)).select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id"
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("key")
     )
-    counts = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(n, rest)).groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    draw = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.lit("window")), F.lit(1_000_000)) / 1_000_000
-    wanted = F.broadcast(counts.select("lang", (F.lit(float(windows)) / F.col("n")).alias("share")))
-    chosen = usable.join(wanted, "lang").where(draw < F.col("share"))
+    uniform = lambda name: F.pmod(F.xxhash64("key", F.lit(name)), F.lit(1_000_000)) / 1_000_000
+    draw = uniform("window")
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("key").alias("n"), F.min(draw).alias("least"))
+    wanted = F.broadcast(counts.select("lang", F.greatest(F.lit(float(windows)) / F.col("n"), "least").alias("share")))
+    chosen = usable.join(wanted, "lang").where(draw <= F.col("share"))
 
     def cut(batches):
         for batch in batches:
@@ -214,10 +216,11 @@ def fit(docs: DataFrame, n: int = 5, rest: int = 0, windows: int = WINDOWS, wind
                     part = text[start : start + window]
                     names.append(i)
                     out.append(part.tobytes().ljust(window, b" "))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(names, pa.int64())), pa.array(out, pa.binary())], names=["lang", "part"])
+            at = pa.array(names, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(3).take(at), pa.array(out, pa.binary())], names=["lang", "key", "part"])
 
-    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.lit(1_000_000)) / 1_000_000
-    sample = stage(chosen.select("lang", "text", place.alias("at")).mapInArrow(cut, "lang string, part binary"), "language-windows")
+    cuts = chosen.select("lang", "text", uniform("place").alias("at"), "key").mapInArrow(cut, "lang string, key bigint, part binary")
+    sample = stage(cuts.dropDuplicates(["lang", "key"]).drop("key"), "language-windows")
     got = sample.orderBy("lang", "part").toArrow()
     if not got.num_rows:
         return None
