@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelkit.llm import ctw, hilbert, langid, line_dedup, topk
+from panelkit.llm import ctw, hilbert, langid, line_dedup, pieces, topk
+from panelkit.llm.common import usable_labels
+from panelkit.llm.queries import tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -119,3 +122,24 @@ def test_suffix_array_and_its_intervals(spark):
     wide = spark.range(n).select(F.col("id").alias("rank"), F.when(F.col("id") % 30_000 == 0, 0).when(F.col("id") % 7 == 0, 1).otherwise(2).cast("int").alias("lcp"))
     starts = {r.rank: r.starts for r in line_dedup.interval_starts(wide, n, 2).where("rank % 997 = 0").collect()}
     assert len(starts) == 41 and all(v == [i // 30_000 * 30_000, max(i // 7 * 7, i // 30_000 * 30_000)] for i, v in starts.items())
+
+
+def test_languages_whose_rows_share_an_id_are_learned(spark):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice(["ala", "makota", "ona"]) for _ in range(30)), "aa", "s", 1) for i in range(1, 300) if zlib.crc32(str(i).encode()) % 5]
+    same = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5)
+    rows += [(same, "zzz yyy xxx " * 12, "zz", "s", 1)] * 4000
+    network = langid.fit(spark.createDataFrame(rows, DOCS).coalesce(2), windows=50)
+    assert network.languages == ["aa", "zz"]
+
+
+def test_labels_are_counted_in_tasks(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    plan = usable_labels(labels, "toxic", 3, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "SinglePartition" not in plan and "Limit" not in plan
+
+
+def test_round_trip_is_a_decode(spark):
+    texts = ["a▁b", "a b", " a", "", "▁", "日本 x\n"]
+    found = pieces.digests(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS), tokenizer_path("piece_bpe_32k.model"))
+    assert {r.doc_id: r.round_trip for r in found.where("rank = 1").collect()} == {i: "▁" not in t for i, t in enumerate(texts)}
