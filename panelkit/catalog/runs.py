@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit import fixed
 from panelkit.catalog import panel
 from panelkit.catalog.base import CENTS_SQL, query
+from panelkit.operators.quality import Findings
 from panelkit.operators.registry import register_periods
 from panelkit.plans import export, merged, new_format, old_format
 from panelkit.session import side_by_side, stage, staging_path
@@ -211,6 +213,63 @@ def large_new_format_processed(spark, sf_dir):
     return _processed(raw, dims, registry, limit=0)
 
 
+@query(
+    f"""WITH {OLD_SQL}, {PERIODS_SQL}, {NEW_SQL}
+    SELECT 'clean' AS step, 'missing column' AS finding, 'panel_weight' AS name, CAST(1 AS BIGINT) AS n
+    UNION ALL SELECT 'clean', 'rows', NULL, count(*) FROM new_coded
+    UNION ALL SELECT 'clean', 'repeated rows', NULL, count(*) FROM new_coded WHERE "year" = 1998 HAVING count(*) > 0
+    UNION ALL SELECT 'clean', 'missing values', 'cat_segment', count(*) FROM new_coded WHERE category = 6
+      HAVING count(*) > 0"""
+)
+def new_format_findings(spark, sf_dir):
+    """What a run over new-format deliveries reports: here a segment without code and a column no delivery has."""
+    _, dims, raw, registry = _inputs(spark, sf_dir)
+    findings = Findings()
+    known = dims._replace(segments=dims.segments.filter("segment_code <> 6"))
+    new_format.process(raw, known, registry, RENAMES, [*WANTED, "panel_weight"], findings=findings)
+    return findings.table(spark)
+
+
+DELIVERED_METRICS = ["Occasions", "Buying Households", "Spend Local Currency", "Volume SU"]
+ABSENT_SQL = ", ".join(f"('{m}')" for m in fixed.OLD_METRICS if m not in DELIVERED_METRICS)
+
+
+@query(
+    f"""WITH {OLD_SQL},
+    outside AS (SELECT count(*) AS n FROM facts WHERE bid = 14)
+    SELECT 'prepared' AS step, 'missing column' AS finding, name, CAST(1 AS BIGINT) AS n
+      FROM (VALUES {ABSENT_SQL}) AS absent(name)
+    UNION ALL SELECT 'products', 'rows', NULL, count(DISTINCT pid) FROM facts
+    UNION ALL SELECT * FROM (SELECT 'products', 'nodes with several parents', NULL, count(*) AS n FROM (SELECT pid
+      FROM facts WHERE depth = 2 GROUP BY pid HAVING bool_or(y = 1995) AND bool_or(y <> 1995))) WHERE n > 0
+    UNION ALL SELECT 'buyer groups', 'rows', NULL, count(DISTINCT (k, bid)) + count(DISTINCT k) FROM facts
+    UNION ALL SELECT * FROM (SELECT 'buyer groups', 'nodes no root leads to', NULL, count(DISTINCT k) AS n
+      FROM facts WHERE bid = 14) WHERE n > 0
+    UNION ALL SELECT 'prepared', 'rows', NULL, count(*) FROM facts
+    UNION ALL SELECT 'prepared', 'repeated rows', NULL, count(*) FROM facts WHERE y = 1996 HAVING count(*) > 0
+    UNION ALL SELECT 'prepared', 'missing values', name, n
+      FROM outside, (VALUES ('demo_lvls'), ('demo_hier'), ('socdem_gr'), ('socdem_gr_code')) AS c(name) WHERE n > 0
+    UNION ALL SELECT 'prepared', 'facts outside the buyer group tree', NULL, n FROM outside WHERE n > 0"""
+)
+def old_format_findings(spark, sf_dir):
+    """What a lenient run over old-format files reports: here a buyer group below an unknown one, leaves that stood
+    elsewhere in 1995, and the rows of 1996 delivered twice."""
+    base = panel.cells(spark, sf_dir)
+    dims, raw = panel.dictionaries(base), panel.old_raw(base)
+    product, end = F.col("Vendor Product ID"), F.col("Time Period End Date")
+    elsewhere = (product % 1000 > 0) & (end == 19951231)
+    raw = raw.withColumns(
+        {
+            "Parent Product ID": F.when(elsewhere, product - product % 1_000_000).otherwise(F.col("Parent Product ID")),
+            "Buyer Group Parent ID": F.when(F.col("Buyer Group ID") == 14, 99).otherwise(F.col("Buyer Group Parent ID")),
+        }
+    )
+    raw = stage(raw.unionByName(raw.filter(end == 19961231)), "old-raw")
+    findings = Findings()
+    old_format.prepare(raw, dims.products, dims.demo, strict=False, findings=findings)
+    return findings.table(spark)
+
+
 MERGED_SQL = f"""WITH {OLD_SQL}, {PERIODS_SQL}, {OLD_CODED_SQL}, {NEW_SQL},
     new_plain AS (SELECT * EXCLUDE (file), NULL::DOUBLE AS occasions FROM new_coded),
     filled AS (SELECT o.* EXCLUDE (volume_su), n.volume_su FROM old_coded o LEFT JOIN new_plain n

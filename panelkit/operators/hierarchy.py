@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelkit.operators.lookup import lookup, require_unique
+from panelkit.operators.quality import Findings
 from panelkit.operators.ranks import ONE_TASK_ROWS, with_dense_rank
 from panelkit.operators.skew import BROADCAST_BYTES, sized_join
 from panelkit.operators.union import union_all
@@ -60,6 +61,8 @@ def walk(
     scope: Sequence[str] = (),
     one_task_rows: int = ONE_TASK_ROWS,
     limit: int = BROADCAST_BYTES,
+    findings: Findings | None = None,
+    step: str = "tree",
 ) -> DataFrame:
     """Every node with the way to it from its root.
 
@@ -72,9 +75,13 @@ def walk(
     takes log2(d) joins of inner nodes, and one more that hangs all other nodes below them.
 
     A node no root leads to (its parent is unknown, or it lies on or below a cycle) fails in
-    strict mode and is left out otherwise; see ``unreached``.
+    strict mode and is left out otherwise; see ``unreached``. ``findings`` are told, for this ``step``, the nodes, those
+    left out and those with more than one parent (``conflict`` of the edges).
     """
     scope = list(scope)
+    disputed = Observation(f"{step}-parents") if findings and "conflict" in edges.columns else None
+    if disputed:
+        edges = edges.observe(disputed, F.count_if("conflict").alias("n"))
     edges, total, edge_bytes = stage_sized(edges, "edges")
     below_root = edges.filter(F.col("id") != F.col("parent")).drop("conflict")
     ranked = with_dense_rank(below_root, [*scope, "parent"], ["order"], "rank", one_task_rows, total)
@@ -99,6 +106,11 @@ def walk(
     if strict and reached < total:
         some = [row.id for row in unreached(edges, nodes, scope).select("id").take(5)]
         raise BrokenTreeError(f"no root leads to {total - reached} nodes, {some} among them")
+    if findings:
+        findings.add(step, "rows", total)
+        findings.add(step, "nodes no root leads to", total - reached)
+    if disputed:
+        findings.add(step, "nodes with several parents", disputed.get["n"])
     return nodes
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from panelkit.functions.columns import metric_columns
 from panelkit.operators.skew import sized_join
 from panelkit.operators.union import union_all
+from panelkit.session import stage
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -27,6 +28,56 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count("*").alias("__rows"), *nulls), seen
 
 
+class Findings:
+    """What a run found out about its input, counted by the writes it makes anyway: no table is read for it.
+
+    A finding is (step, finding, name, n). Numbers of rows are always told, others only if there is something to tell.
+    """
+
+    def __init__(self) -> None:
+        self._rows: list[tuple[str, str, str | None, int]] = []
+
+    def add(self, step: str, finding: str, n: int, name: str | None = None) -> None:
+        if n or finding == "rows":
+            self._rows.append((step, finding, name, n))
+
+    def missing(self, step: str, df: DataFrame, wanted: Iterable[str]) -> None:
+        """Each wanted column the frame lacks."""
+        for column in missing_columns(df, wanted):
+            self.add(step, "missing column", 1, column)
+
+    def staged(
+        self, df: DataFrame, step: str, copies: str | None = None, also: Mapping[str, Column] | None = None
+    ) -> DataFrame:
+        """``df`` written and read back, with its rows, missing values and, under their names, the rows ``also`` is true for.
+
+        ``copies`` names a column, left out of the table, that counts the rows each row stands for. The counts are taken
+        by the tasks that write, each of which counts once however often it is run.
+        """
+        columns = [c for c in df.columns if c != copies]
+        also = also or {}
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if copies:
+            counts.append(F.coalesce(F.sum(copies), F.lit(0)).alias("copies"))
+        counts += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(columns)]
+        counts += [F.count_if(condition).alias(f"also_{i}") for i, condition in enumerate(also.values())]
+        seen = Observation(step)
+        table = stage(df.observe(seen, *counts).select(*[F.col(f"`{c}`") for c in columns]), step)
+        found = seen.get
+        self.add(step, "rows", found["rows"])
+        if copies:
+            self.add(step, "repeated rows", found["copies"] - found["rows"])
+        for i, column in enumerate(columns):
+            self.add(step, "missing values", found[f"null_{i}"], column)
+        for i, finding in enumerate(also):
+            self.add(step, finding, found[f"also_{i}"])
+        return table
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """All findings so far, in the order of their steps."""
+        return spark.createDataFrame(self._rows, "step string, finding string, name string, n long")
+
+
 def duplicate_counts(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """Rows, distinct rows and the rows that repeat another, ``ignore`` left out of the comparison."""
     content = [c for c in df.columns if c not in ignore]

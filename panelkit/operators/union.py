@@ -31,12 +31,14 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.select(*(columns or df.columns)).distinct()
 
 
-def distinct_late(df: DataFrame, texts: Sequence[Sequence[str]], limit: int = BROADCAST_BYTES) -> DataFrame:
+def distinct_late(
+    df: DataFrame, texts: Sequence[Sequence[str]], limit: int = BROADCAST_BYTES, copies: str | None = None
+) -> DataFrame:
     """Distinct rows of ``df``, whose ``texts`` are compared and shuffled as numbers and put back after.
 
     Each group of text columns that belong together is a side table, one row per combination, under a 64-bit number;
     two combinations of one number (one table in millions would have such) are an error, raised in the side table's
-    rows. Reads ``df`` once per group.
+    rows. Reads ``df`` once per group. ``copies`` names a column that counts the rows each row stands for.
     """
     numbers = [F.xxhash64(*[x for c in own for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]) for own in texts]
     names = [f"__texts_{i}" for i in range(len(texts))]
@@ -53,21 +55,27 @@ def distinct_late(df: DataFrame, texts: Sequence[Sequence[str]], limit: int = BR
     sides = side_by_side(*[lambda x=x: side(*x) for x in zip(names, numbers, texts, strict=True)])
     listed = {c for own in texts for c in own}
     rest = [c for c in df.columns if c not in listed]
-    found = df.select(*[n.alias(name) for n, name in zip(numbers, names, strict=True)], *rest).distinct()
+    found = df.select(*[n.alias(name) for n, name in zip(numbers, names, strict=True)], *rest)
+    found = found.groupBy(*found.columns).agg(F.count("*").alias(copies)) if copies else found.distinct()
     hot = HotKeys(found, *[[name] for name in names])
     for name, (table, measured) in zip(names, sides, strict=True):
         found = sized_join(found, table, [name], limit=limit, measured=measured, hot=hot)
-    return found.select(*df.columns)
+    return found.select(*df.columns, *([copies] if copies else []))
 
 
 def distinct_without(
-    df: DataFrame, provenance: str = "file", limit: int = BROADCAST_BYTES, files: DataFrame | None = None
+    df: DataFrame,
+    provenance: str = "file",
+    limit: int = BROADCAST_BYTES,
+    files: DataFrame | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per content, from the first file in name order; null only where no copy names a file.
 
     The files are numbered in name order, so the first one is the minimum of a number and found by hashing, combined inside
     each task before the shuffle: content with very many copies is no hot group and nothing is sorted.
     Reads ``df`` twice, the first time only its provenance; ``files`` is a shorter way to that (a table with all of them).
+    ``copies`` names a column that counts the rows each row stands for.
     """
     content = [c for c in df.columns if c != provenance]
     files = df if files is None else files
@@ -75,8 +83,10 @@ def distinct_without(
     files, count, measured = stage_sized(files, "files")
     files = with_row_number(files, [], [provenance], "__number", rows=count)
     numbered = sized_join(df, files, [provenance], limit=limit, measured=2 * measured)
-    first = numbered.groupBy(*content).agg(F.min("__number").alias("__number"))
-    return sized_join(first, files, ["__number"], limit=limit, measured=2 * measured).select(df.columns)
+    counted = [F.count("*").alias(copies)] if copies else []
+    first = numbered.groupBy(*content).agg(F.min("__number").alias("__number"), *counted)
+    found = sized_join(first, files, ["__number"], limit=limit, measured=2 * measured)
+    return found.select(*df.columns, *([copies] if copies else []))
 
 
 #: Bits of a row's place in ``first_by_priority``: its missing metrics and a hash of its content, below the number of its frame.

@@ -12,6 +12,7 @@ from panelkit import fixed
 from panelkit.functions import columns as C
 from panelkit.functions.periods import with_new_period_labels
 from panelkit.operators.lookup import adaptive_lookup, lookup, require_all_unique
+from panelkit.operators.quality import Findings
 from panelkit.operators.registry import PERIOD_KEYS, attach_periods
 from panelkit.operators.shares import with_shares
 from panelkit.operators.skew import BROADCAST_BYTES, HotKeys
@@ -110,11 +111,16 @@ def share_keys(df: DataFrame, demo_columns: Sequence[str], by_file: bool = True)
     return [c for c in C.key_columns(df) if c not in skipped]
 
 
-def clean(df: DataFrame, wanted: Sequence[str], digits: int = 3, files: DataFrame | None = None) -> DataFrame:
-    """Wanted columns and metrics, metrics rounded, each content once. ``files`` may give the file names at less cost."""
+def clean(
+    df: DataFrame, wanted: Sequence[str], digits: int = 3, files: DataFrame | None = None, copies: str | None = None
+) -> DataFrame:
+    """Wanted columns and metrics, metrics rounded, each content once. ``files`` may give the file names at less cost.
+
+    ``copies`` names a column that counts the delivered rows of each content.
+    """
     metrics = C.metric_columns(df)
     df = C.keep_present(df, [*wanted, *metrics])
-    return distinct_without(C.round_metrics(df, metrics, digits), "file", files=files)
+    return distinct_without(C.round_metrics(df, metrics, digits), "file", files=files, copies=copies)
 
 
 def process(
@@ -127,18 +133,24 @@ def process(
     strict: bool = True,
     adaptive: bool = False,
     limit: int = BROADCAST_BYTES,
+    findings: Findings | None = None,
 ) -> DataFrame:
     """From deliveries to coded, clean facts with shares.
 
     ``registry`` must already hold the periods of the deliveries: see ``labelled`` and
-    ``register_periods``, whose result is written before this plan reads it.
+    ``register_periods``, whose result is written before this plan reads it. ``findings`` are told the clean rows,
+    the repeated ones left out, missing values of each column, and wanted columns that no delivery has.
     """
     df = files = classified(raw)
     hot = HotKeys(with_new_period_labels(spelled(df), strict), *LOOKUP_KEYS, *PERIOD_KEYS)
     df = coded(df, dims, renames, wanted, adaptive, limit, hot)
     df = attach_periods(with_new_period_labels(df, strict), registry, dims.types, limit, hot)
     # The totals and the facts both read the clean rows, so they are written once.
-    df = stage(clean(df, wanted, files=files), "clean")
+    if findings:
+        findings.missing("clean", df, wanted)
+        df = findings.staged(clean(df, wanted, files=files, copies="__copies"), "clean", "__copies")
+    else:
+        df = stage(clean(df, wanted, files=files), "clean")
     return with_shares(df, share_keys(df, C.lower_headers(dims.demo).columns, by_file), limit=limit)
 
 

@@ -16,6 +16,7 @@ from panelkit.functions import columns as C
 from panelkit.functions.periods import with_date_parts, with_old_period_label
 from panelkit.operators import hierarchy as H
 from panelkit.operators.lookup import inverse_map, measure_all, miss_counts, require_all_unique, require_unique, soft_map, strict_map
+from panelkit.operators.quality import Findings
 from panelkit.operators.skew import BROADCAST_BYTES, HotKeys
 from panelkit.operators.union import distinct_late
 from panelkit.session import side_by_side, stage
@@ -43,24 +44,29 @@ def cleaned(raw: DataFrame, category: str = "Category Name") -> DataFrame:
     return with_old_period_label(with_date_parts(df, "Time Period End Date"), "Time Period Type")
 
 
-def product_nodes(facts: DataFrame, groups: DataFrame, order=None, strict: bool = True) -> DataFrame:
+def product_nodes(
+    facts: DataFrame, groups: DataFrame, order=None, strict: bool = True, findings: Findings | None = None
+) -> DataFrame:
     """The product tree of the facts, labelled and ordered by the product dictionary."""
     edges = H.edges_from_facts(
         facts, "Vendor Product ID", "Parent Product ID", "Product Name", order, SCOPE
-    ).drop("label", "conflict")
+    ).drop("label")
     entry = F.struct(F.col("full_label").alias("label"), F.col("product_code").alias("order"))
     listed = groups.select("vendor product id", entry.alias("entry"))
     edges = strict_map(edges, "id", listed, "vendor product id", "entry", "entry")
-    return H.walk(edges.select(*SCOPE, "id", "parent", "entry.*"), strict, SCOPE)
+    edges = edges.select(*SCOPE, "id", "parent", "entry.*", "conflict")
+    return H.walk(edges, strict, SCOPE, findings=findings, step="products")
 
 
-def buyer_nodes(facts: DataFrame, demo: DataFrame, order=None, strict: bool = True) -> DataFrame:
+def buyer_nodes(
+    facts: DataFrame, demo: DataFrame, order=None, strict: bool = True, findings: Findings | None = None
+) -> DataFrame:
     """The buyer group tree of the facts, ordered by the demographic dictionary."""
     edges = H.edges_from_facts(
         facts, "Buyer Group ID", "Buyer Group Parent ID", "Buyer Group Name", order, SCOPE
-    ).drop("conflict")
+    )
     edges = strict_map(edges, "id", demo, "buyer group id", "demo_code", "order")
-    return H.walk(edges, strict, SCOPE)
+    return H.walk(edges, strict, SCOPE, findings=findings, step="buyer groups")
 
 
 def prepare(
@@ -71,16 +77,21 @@ def prepare(
     order=None,
     strict: bool = True,
     limit: int = BROADCAST_BYTES,
+    findings: Findings | None = None,
 ) -> Prepared:
     """Facts with hierarchy labels, depths, feature, category and demographic group.
 
-    ``raw`` is read several times (trees, levels in use, result), so it should be files.
+    ``raw`` is read several times (trees, levels in use, result), so it should be files. With ``findings`` the facts are
+    written here, and the findings are told of both trees (see ``walk``), missing metrics, rows, repeated rows, missing values,
+    facts outside the trees and facts whose period type has no label.
     """
+    if findings:
+        findings.missing("prepared", raw, metrics or fixed.OLD_METRICS)
     metrics = metrics or [m for m in fixed.OLD_METRICS if m in raw.columns]
     facts = cleaned(raw)
     products, buyers = side_by_side(
-        lambda: H.with_levels(product_nodes(facts, groups, order, strict), "level_"),
-        lambda: H.with_levels(buyer_nodes(facts, demo, order, strict), "demo_", width=2),
+        lambda: H.with_levels(product_nodes(facts, groups, order, strict, findings), "level_"),
+        lambda: H.with_levels(buyer_nodes(facts, demo, order, strict, findings), "demo_", width=2),
     )
     product_levels = [c for c in products.columns if c.startswith("level_") and not c.endswith("_code")]
 
@@ -98,8 +109,9 @@ def prepare(
     )
 
     # Names are long and repeat; only their numbers and the metrics are compared and shuffled.
+    copies = "__copies" if findings else None
     joined = distinct_late(
-        facts.select("Vendor Product ID", "Buyer Group ID", *[c for own in NAMES for c in own], *metrics), NAMES, limit
+        facts.select("Vendor Product ID", "Buyer Group ID", *[c for own in NAMES for c in own], *metrics), NAMES, limit, copies
     )
     hot = HotKeys(facts, [*SCOPE, "Vendor Product ID"], ["Vendor Product ID"], [*SCOPE, "Buyer Group ID"])
     # Of the levels only the category and the demographic group stay in the facts, so no
@@ -128,6 +140,13 @@ def prepare(
     joined = H.attach(joined, side, "Buyer Group ID", SCOPE, hot=hot, **known["buyers"])
     # a buyer group that no root reaches has no depth; its facts stay
     result = joined.filter(F.col("demo_lvls").isNull() | (F.col("demo_lvls") != 1)).drop("Category Name")
+    if findings:
+        also = {
+            "facts outside the product tree": F.col("product_lvls").isNull(),
+            "facts outside the buyer group tree": F.col("demo_lvls").isNull(),
+            "facts without period label": F.col("period_lbl").isNull(),
+        }
+        result = findings.staged(result, "prepared", copies, also)
     return Prepared(result, tree, products, buyers)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelkit import fixed
 from panelkit.operators.hierarchy import BrokenTreeError
+from panelkit.operators.quality import Findings
 from panelkit.operators.registry import register_periods
 from panelkit.plans import export, merged, new_format, old_format
 from panelkit.session import stage
@@ -233,3 +234,43 @@ def test_large_runs_join_each_dictionary_once(spark, old_raw, dims, registry, mo
     assert plan.count("SortMergeJoin") == 7 and plan.count("panel_sample_size") <= 1
     small = old_format.recode(facts, dims.products, dims.demo, dims.segments, registry, dims.types)
     assert sorted(map(str, coded.collect())) == sorted(map(str, small.collect()))
+
+
+def test_a_run_reports_what_it_found(spark, old_raw, new_raw, dims, grown):
+    findings = Findings()
+    orphan = old_raw.withColumn("Buyer Group Parent ID", F.when(F.col("Buyer Group ID") == 21, 99).otherwise(F.col("Buyer Group Parent ID")))
+    orphan = orphan.withColumn("Time Period Type", F.when(F.col("Buyer Group ID") == 22, "Daily").otherwise(F.col("Time Period Type")))
+    prepared = old_format.prepare(orphan, dims.products, dims.demo, strict=False, findings=findings)
+    plain = old_format.prepare(orphan, dims.products, dims.demo, strict=False)
+    assert prepared.facts.columns == plain.facts.columns
+    assert Counter(map(tuple, prepared.facts.collect())) == Counter(map(tuple, plain.facts.collect()))
+    found = {(r.step, r.finding, r.name): r.n for r in findings.table(spark).collect()}
+    assert found["buyer groups", "nodes no root leads to", None] == 1
+    assert found["prepared", "rows", None] == found["prepared", "repeated rows", None] == 16
+    assert found["prepared", "facts outside the buyer group tree", None] == 4
+    assert found["prepared", "facts without period label", None] == 6
+    assert ("prepared", "missing column", "Raw Shoppers") in found and ("prepared", "missing column", "Volume SU") not in found
+    assert not any(finding == "nodes with several parents" for _, finding, _ in found)
+
+    findings = Findings()
+    facts = new_format.process(new_raw, dims, grown, RENAMES, [*WANTED, "weight"], findings=findings)
+    found = {(r.step, r.finding, r.name): r.n for r in findings.table(spark).collect()}
+    assert found["clean", "rows", None] == facts.count() == 6
+    assert found["clean", "missing values", "products"] == 1 and found["clean", "missing column", "weight"] == 1
+
+
+def test_findings_of_empty_and_clashing_tables(spark):
+    findings = Findings()
+    df = spark.createDataFrame([], "`a.b` int, rows long, copies int")
+    assert findings.staged(df, "empty").columns == df.columns
+    assert findings.staged(df.withColumn("__n", F.lit(1)), "counted", "__n").columns == df.columns
+    assert [tuple(r) for r in findings.table(spark).collect()] == [("empty", "rows", None, 0), ("counted", "rows", None, 0)]
+
+
+def test_parents_in_dispute_are_reported(spark, old_raw, dims):
+    moved = old_raw.filter("`Vendor Product ID` = 901").withColumn("Parent Product ID", F.lit(1).cast("long"))
+    moved = moved.withColumn("Time Period End Date", F.lit(20240430).cast("long"))
+    findings = Findings()
+    old_format.prepare(old_raw.unionByName(moved), dims.products, dims.demo, findings=findings)
+    found = {(r.step, r.finding): r.n for r in findings.table(spark).collect() if r.name is None}
+    assert found["products", "nodes with several parents"] == 1 and ("products", "nodes no root leads to") not in found
