@@ -18,6 +18,9 @@ from panelkit.session import stage_sized
 CANDIDATES = 4096
 QUERIES = 512
 TILE = 64
+#: Parts of a block. Whole numbers of any size a component can have are exact as 64-bit floats.
+PARTS = {"terms": np.int64, "ends": np.int64, "rows": np.int64, "weights": np.float64, "ids": np.int64}
+LARGEST = np.finfo(np.float64).max
 BLOCK_SCHEMA = "n long, terms binary, ends binary, rows binary, weights binary, ids binary"
 
 
@@ -37,7 +40,7 @@ def _packer(size: int, scale: float):
             ends = np.append(first[1:], len(col)).astype(np.int64)
             parts = (terms, ends, row[order], value[order], np.concatenate(ids))
             return pa.RecordBatch.from_pydict(
-                {"n": [n]} | {k: [np.ascontiguousarray(x, np.int64).tobytes()] for k, x in zip(("terms", "ends", "rows", "weights", "ids"), parts, strict=True)}
+                {"n": [n]} | {k: [np.ascontiguousarray(x, kind).tobytes()] for (k, kind), x in zip(PARTS.items(), parts, strict=True)}
             )
 
         for batch in batches:
@@ -49,10 +52,8 @@ def _packer(size: int, scale: float):
             while done < len(numbers):
                 end = min(len(numbers), done + size - n)
                 length = np.diff(offsets[done : end + 1])
-                value = np.floor(scale * flat[offsets[done] : offsets[end]])
-                if len(value) and np.abs(value).max() >= 2.0**62:
-                    raise OverflowError("a component is too large for an integer score")
-                value = value.astype(np.int64)
+                with np.errstate(over="ignore"):
+                    value = np.clip(np.floor(scale * flat[offsets[done] : offsets[end]]), -LARGEST, LARGEST)
                 some = np.flatnonzero(value)
                 rows.append((n + np.repeat(np.arange(len(length)), length))[some])
                 first = np.repeat(offsets[done:end] - offsets[done], length)
@@ -71,19 +72,20 @@ def _packer(size: int, scale: float):
 
 
 def _unpacked(row: dict, prefix: str):
-    return (np.frombuffer(row[prefix + k].as_buffer(), np.int64) for k in ("terms", "ends", "rows", "weights", "ids"))
+    return (np.frombuffer(row[prefix + k].as_buffer(), kind) for k, kind in PARTS.items())
 
 
 def accumulate(terms, ends, rows, weights, n, q_terms, q_ends, q_rows, q_weights, q_n) -> np.ndarray:
     """Integer scores (candidate, query), term at a time.
 
-    The numbers are exact: 32-bit floats, 64-bit floats or integers, by the largest sum possible.
+    The numbers are exact: 32-bit floats, 64-bit floats, 64-bit integers or, where a sum may not fit them, integers without a
+    bound; sums that do not fit 64 bits then become the nearest that does.
     """
     top = [int(np.abs(x).max()) if len(x) else 0 for x in (weights, q_weights)]
     bound = top[0] * top[1] * max(1, min(len(terms), len(q_terms)))
-    if bound >= 2**63:
-        raise OverflowError("a score may not fit 64 bits")
-    kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
+    kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64 if bound < 2**63 else object
+    if kind is object:
+        weights, q_weights = (np.array([int(w) for w in x], object) for x in (weights, q_weights))
     scores = np.zeros((n, q_n), kind)
     common, mine, theirs = np.intersect1d(terms, q_terms, assume_unique=True, return_indices=True)
     for i, j in zip(mine, theirs, strict=True):
@@ -96,7 +98,7 @@ def accumulate(terms, ends, rows, weights, n, q_terms, q_ends, q_rows, q_weights
             scores += weighted
         else:
             scores[rows[a:b]] += weighted
-    return scores
+    return np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64) if kind is object else scores
 
 
 def best(scores: np.ndarray, ids: np.ndarray, q_ids: np.ndarray, k: int):
@@ -114,7 +116,9 @@ def best(scores: np.ndarray, ids: np.ndarray, q_ids: np.ndarray, k: int):
         kth = scores.min(0)
     where_q, where_c = np.nonzero((scores >= kth[None, :]).T & ~own.T)
     value = scores[where_c, where_q]
-    rank = np.lexsort((where_c, -value, where_q))
+    # the complement falls as the value rises and, unlike the negative, exists for the smallest integer
+    falling = ~value if value.dtype == np.int64 else -value
+    rank = np.lexsort((where_c, falling, where_q))
     where_q, where_c, value = where_q[rank], where_c[rank], value[rank]
     place = ragged_rank(where_q)
     take = place < k
@@ -154,7 +158,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, scale: float = 64.0
     Components count as floor(``scale`` * x). A row is never its own candidate (rows of its id are
     left out), ties go to the smaller id, and missing components of a shorter vector count as 0.
     Vectors that are null or hold null or non-finite components take no part, nor do null ids;
-    empty vectors score 0 with everything. A query id that occurs in several rows gets one list
+    empty vectors score 0 with everything. Sums are exact whatever the size of the components; a score beyond 64 bits is told
+    as the largest or smallest 64-bit number, and rows with equal told scores tie (a component that ``scale`` takes beyond
+    the doubles counts as the largest double). A query id that occurs in several rows gets one list
     over the best scores of all of them. Extra columns are ignored. Returns query_id, rank (from 1), vec_id, score.
 
     Work is queries x candidates, dealt as one row per pair of blocks; nothing is broadcast.

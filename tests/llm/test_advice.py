@@ -143,3 +143,20 @@ def test_round_trip_is_a_decode(spark):
     texts = ["a▁b", "a b", " a", "", "▁", "日本 x\n"]
     found = pieces.digests(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS), tokenizer_path("piece_bpe_32k.model"))
     assert {r.doc_id: r.round_trip for r in found.where("rank = 1").collect()} == {i: "▁" not in t for i, t in enumerate(texts)}
+
+
+def test_top_k_with_components_beyond_64_bits(spark):
+    draw = random.Random(5)
+    rows = [[draw.uniform(-1, 1) for _ in range(4)] for _ in range(60)]
+    rows[3], rows[7], rows[20] = [1e30, 0.5, 0.0, 0.0], [1e30, 1.0, -1e30, 0.25], [1.0, 0.5, 1.0, 0.0]
+    rows[40], rows[11], rows[12] = [-1e300, 0.1, 0.2, 0.3], [1.7e308, 0.0, 0.0, 0.0], [3e16, 1.0, 0.0, 0.0]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    whole = [[int(min(max(np.floor(np.float64(64) * x), -topk.LARGEST), topk.LARGEST)) for x in v] for v in rows]
+    wanted = set()
+    for q in range(0, 60, 20):
+        scores = [(min(max(sum(a * b for a, b in zip(whole[q], v)), -(2**63)), 2**63 - 1), i) for i, v in enumerate(whole) if i != q]
+        for rank, (score, i) in enumerate(sorted(scores, key=lambda s: (-s[0], s[1]))[:9], 1):
+            wanted.add((q, rank, i, score))
+    with np.errstate(over="ignore"):
+        got = topk.top_k(df, df.where("vec_id % 20 = 0"), 9).select("query_id", "rank", "vec_id", "score").collect()
+    assert {tuple(r) for r in got} == wanted and len(got) == 27
