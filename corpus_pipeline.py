@@ -60,7 +60,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     numbers = stage(ranked(pairs, ["none", *keys], "number", "corpus-order"), "corpus-numbers")
     numbered = sized_join(hashed.select(*keys, "text"), numbers.select(*keys, "number"), keys, "inner")
     rows = numbered.select(F.col("number").alias("doc_id"), "text")
-    classes = stage(near_dedup.near_classes(rows), "corpus-classes")
+
+    def pick(wanted: DataFrame) -> DataFrame:
+        """The texts of some numbers, found by the keys of these alone."""
+        some = sized_join(numbers, wanted.withColumnRenamed("doc_id", "number"), ["number"], "left_semi")
+        return sized_join(hashed.select(*keys, "text"), some.select(*keys, "number"), keys, "inner").select(F.col("number").alias("doc_id"), "text")
+
+    classes = stage(near_dedup.near_classes(rows, pick=pick), "corpus-classes")
     first = classes.groupBy("class_id").agg(F.min("doc_id").alias("number")).select("number")
     winners = stage(sized_join(numbers, first, ["number"], "left_semi").select(*keys, "copies"), "corpus-winners")
     unstage(classes, numbers)

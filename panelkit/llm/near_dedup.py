@@ -10,6 +10,7 @@ Bands of coordinates are joined, candidates are verified exactly, and links give
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from panelkit.llm.common import (
     spans,
     text_blocks,
 )
+from panelkit.operators.skew import BROADCAST_BYTES, sized_join
 from panelkit.session import stage, stage_sized, unstage
 
 SHINGLE = 5
@@ -36,6 +38,8 @@ ROWS = 7
 BLOCK = 1 << 19
 HUBS = 16
 PAIRS = 128
+#: Pairs per document that are listed before any hub was compared.
+FEW = 2
 EMPTY = np.uint64(2**64 - 1)
 
 # Darts in a cell of area 1: Poisson(1), by 16 bits of the cell's hash.
@@ -127,33 +131,46 @@ def signatures(text, element, weight, n: int, t: int) -> np.ndarray:
         _throw(text[again], element[again], weight[again], reach, t, out)
 
 
-def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, number of words, digests of the word sequence, band keys and the shingles of every text.
-
-    The shingles are a sorted multiset of 32-bit numbers. A text without words has no keys.
-    """
-    t = bands * rows
-    salt = mix(np.arange(1, t + 1, dtype=np.uint64)) | np.uint64(1)
+def _digested(docs: DataFrame, kind: str, column: str, made) -> DataFrame:
+    """doc_id, number of words and digests of the word sequence of every text, and a ``column`` that ``made`` makes of its shingles."""
 
     def run(batches):
         for batch in batches:
             for first, end, data, offsets in text_blocks(batch.column(1), BLOCK):
                 n = end - first
                 text, element, weight, count, digests = shingles(data, offsets)
-                marks = signatures(text, element, weight.astype(np.float64), n, t).astype(np.uint64) * salt
-                keys = mix(marks.reshape(n, bands, rows).sum(2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
-                some = count > 0
-                filled = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * bands)).astype(np.int32)), pa.array(keys[some].reshape(-1).view(np.int64)))
-                marks_of = np.repeat((element >> np.uint64(8)).astype(np.uint32), weight)
-                ends = 4 * np.append(0, np.cumsum(np.bincount(text, weight, n))).astype(np.int32)
-                sets = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(marks_of))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(count), *(pa.array(d.view(np.int64)) for d in digests), filled, sets],
-                    names=["doc_id", "words", "d1", "d2", "keys", "shingles"],
+                    [batch.column(0).slice(first, n), pa.array(count), *(pa.array(d.view(np.int64)) for d in digests), made(n, text, element, weight, count)],
+                    names=["doc_id", "words", "d1", "d2", column],
                 )
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInArrow(run, "doc_id bigint, words bigint, d1 bigint, d2 bigint, keys array<bigint>, shingles binary")
+    return kept.mapInArrow(run, f"doc_id bigint, words bigint, d1 bigint, d2 bigint, {column} {kind}")
+
+
+def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, number of words, digests of the word sequence and band keys of every text. A text without words has no keys."""
+    t = bands * rows
+    salt = mix(np.arange(1, t + 1, dtype=np.uint64)) | np.uint64(1)
+
+    def made(n, text, element, weight, count):
+        marks = signatures(text, element, weight.astype(np.float64), n, t).astype(np.uint64) * salt
+        keys = mix(marks.reshape(n, bands, rows).sum(2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
+        some = count > 0
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(some * bands)).astype(np.int32)), pa.array(keys[some].reshape(-1).view(np.int64)))
+
+    return _digested(docs, "array<bigint>", "keys", made)
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """doc_id, number of words, digests of the word sequence and shingles of every text, a sorted multiset of 32-bit numbers."""
+
+    def made(n, text, element, weight, count):
+        marks = np.repeat((element >> np.uint64(8)).astype(np.uint32), weight)
+        ends = 4 * np.append(0, np.cumsum(np.bincount(text, weight, n))).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(marks))])
+
+    return _digested(docs, "binary", "shingles", made)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -209,7 +226,13 @@ def shared_weights(sets: DataFrame) -> DataFrame:
     return sized.join(alone, "id", "left").select("id", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_classes(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    pick: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(doc_id, class_id, copies) for every distinct non-null doc_id: class_id is the smallest doc_id of its class.
 
     Two texts are linked if the weighted Jaccard similarity of their shingles is ``similarity`` or
@@ -218,12 +241,16 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     (null, empty, punctuation) is alone. Repeated rows of one id count once (the copy with the
     smallest digest decides), and null ids have no class. Extra columns are ignored.
 
+    The texts are read twice: all of them for the band keys, and for the shingles those that share a bucket with another
+    one; of these ``pick`` gives doc_id and text for a table of their doc_id, if there is a shorter way than to filter ``docs``.
+
     A pair at the threshold shares no band with probability (1 - s^rows)^bands, about 1e-5.
     Within a band bucket no pairs are listed while there are many: the member with most company is
     compared with all members of other classes, classes are joined, and what is still split goes
     on with the next ``HUBS`` such members. After the first round, pairs (and texts) whose shingles
     found in any other text still in question are too few for ``similarity`` are left out, which loses no link. Once the pairs between different classes that were not
-    compared are at most ``PAIRS`` per document over all bands, each such pair is compared once, so no link is lost.
+    compared are at most ``PAIRS`` per document over all bands (``FEW`` before the first round, which joins a large group of near
+    copies by its hubs), each such pair is compared once, so no link is lost.
     """
     sketch = stage(sketches(docs, bands, rows), "near-sketch")
     none = F.col("words") == 0
@@ -231,24 +258,27 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
     ids = stage(sketch.where("doc_id is not null").groupBy("doc_id").agg(F.min(identity).alias("text")), "near-ids")
     groups = stage(ids.groupBy("text").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "near-texts")
     nodes = groups.where("not text.none").select(F.col("node").alias("doc_id"), "text")
-    mine = sketch.where("words > 0").select("doc_id", identity.alias("text"), "keys", "shingles")
-    chosen = mine.select("doc_id", "text", "keys").join(nodes, ["doc_id", "text"]).dropDuplicates(["doc_id"])
-    chosen = stage(chosen.select(F.col("doc_id").alias("id"), "keys"), "near-keys")
-    banded = chosen.select("id", F.posexplode("keys").alias("band", "key"))
-    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stage(banded.join(sizes, "key"), "near-members")
-    people = members.groupBy("id").agg(F.sum("n").alias("company"))
-    member_sets = stage(
-        mine.select(F.col("doc_id").alias("id"), "shingles", "text").join(nodes.select(F.col("doc_id").alias("id"), "text"), ["id", "text"]).join(people, "id").select("id", "shingles").dropDuplicates(["id"]),
-        "near-sets",
-    )
+
+    def of_nodes(found, column):
+        """One row (id, ``column``) of each node; the distinct uses the shuffle of the join."""
+        mine = found.where("words > 0").select("doc_id", identity.alias("text"), column)
+        return mine.join(nodes, ["doc_id", "text"]).dropDuplicates(["doc_id", "text"]).select(F.col("doc_id").alias("id"), column)
+
+    chosen = stage(of_nodes(sketch, "keys"), "near-keys")
     unstage(sketch)
+    banded = chosen.select("id", F.posexplode("keys").alias("band", "key"))
+    sizes, _, size_bytes = stage_sized(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-sizes")
+    members = stage(banded.join(F.broadcast(sizes) if size_bytes <= BROADCAST_BYTES else sizes, "key"), "near-members")
+    people = stage(members.groupBy("id").agg(F.sum("n").alias("company")), "near-people")
+    if pick is None:
+        pick = lambda wanted: sized_join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, ["doc_id"], "left_semi")
+    member_sets = stage(of_nodes(shingle_sets(pick(people.select(F.col("id").alias("doc_id")))), "shingles"), "near-sets")
     marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
-    unstage(chosen)
-    bound = PAIRS * groups.count()
+    unstage(chosen, sizes)
+    texts = groups.count()
     state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
     labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
-    unstage(members)
+    unstage(members, people)
     # an intersection c is enough for the similarity s of sizes a and b if c (1 + s) >= s (a + b)
     enough = lambda c, sizes: c * (1 + similarity) + 1e-6 >= sizes * similarity
     fits = enough(F.least("common", "hub_common"), F.col("size") + F.col("hub_size"))
@@ -271,7 +301,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = B
             unstage(state, labelled, open_)
             state = fitting
             continue
-        last = cost <= bound
+        last = cost <= (PAIRS if weighed else FEW) * texts
         free = rest.where(~F.col("used"))
         if last:
             chosen = free
