@@ -28,7 +28,8 @@ DEPTH = 5
 #: Rows of one Arrow batch of a block's keys.
 TOLD = 1 << 17
 BLOCK = 40 << 20
-WORD, GRAM = 0, 1
+#: Set in the hash of a word, which tells it from a gram; as a signed number it is negative.
+WORD = 1 << 63
 #: Marks a gram whose last place is the end of the text instead of a byte.
 END = 1 << 56
 BLANK = np.zeros(256, bool)
@@ -60,7 +61,7 @@ def end_grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> np.n
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text) of every word of lower-cased text: runs of other bytes than ASCII white space."""
     start, end, doc = spans(~BLANK[data], offsets)
-    return span_hashes(running_hash(data), start, end), doc
+    return span_hashes(running_hash(data), start, end) | np.uint64(WORD), doc
 
 
 def _counted(keys: np.ndarray, learns: np.ndarray):
@@ -73,8 +74,20 @@ def _counted(keys: np.ndarray, learns: np.ndarray):
     return distinct, known, total
 
 
+def _packed(rows: pa.RecordBatch) -> bytes:
+    """Rows as compressed Arrow data."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(rows: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
 def _blocked(limit: int):
-    """Give consecutive rows of a partition a common block number until they hold ``limit`` bytes."""
+    """Give consecutive rows of a partition a common block number until they hold ``limit`` bytes; about 1 MB of texts is packed into one row."""
 
     def run(batches):
         block, held = TaskContext.get().partitionId() << 24, 0
@@ -83,8 +96,9 @@ def _blocked(limit: int):
                 if held and held + len(data) > limit:
                     block, held = block + 1, 0
                 held += len(data)
-                part = batch.slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(end - first, block)), *part.columns], names=["block", "doc_id", "held_out", "text"])
+                part = pa.RecordBatch.from_arrays(batch.slice(first, end - first).columns, names=["doc_id", "held_out", "text"])
+                taught = end - first - part.column(1).true_count
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([taught], pa.int64()), pa.array([_packed(part)], pa.binary())], names=["block", "taught", "rows"])
 
     return run
 
@@ -108,35 +122,32 @@ def _ask(batches, ends: bool = False):
             stack.append(merged(stack.pop(), last))
 
     def told(block, found):
-        for kind, stack in found.items():
+        for stack in found:
             while len(stack) > 1:
                 last = stack.pop()
                 stack.append(merged(stack.pop(), last))
             key, known, total = stack.pop() if stack else (np.zeros(0, np.uint64),) * 3
             for i in range(0, len(key), TOLD):
                 part = slice(i, i + TOLD)
-                n = len(key[part])
-                columns = {"block": np.full(n, block, np.int64), "kind": np.full(n, kind, np.int32), "key": key[part].view(np.int64)}
+                columns = {"block": np.full(len(key[part]), block, np.int64), "key": key[part].view(np.int64)}
                 yield pa.RecordBatch.from_pydict(columns | {"known": known[part].astype(np.int64), "total": total[part].astype(np.int64)})
 
     block, found = None, None
     for batch in batches:
-        blocks = batch.column(0).to_numpy()
-        cuts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])).tolist() if len(blocks) else []
-        for begin, stop in zip(cuts, [*cuts[1:], len(blocks)], strict=True):
-            if blocks[begin] != block:
+        for number, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if number != block:
                 if found:
                     yield from told(block, found)
-                block, found = int(blocks[begin]), {WORD: [], GRAM: []}
-            learns = ~batch.column(1).slice(begin, stop - begin).to_numpy(zero_copy_only=False).astype(bool)
-            for first, end, data, offsets in text_blocks(batch.column(2).slice(begin, stop - begin)):
+                block, found = number, ([], [])
+            texts = _unpacked(rows)
+            learns = ~texts.column("held_out").to_numpy().astype(bool)
+            for first, end, data, offsets in text_blocks(texts.column("text")):
                 low, taught = LOWER[data], learns[first:end]
                 key, doc = words(low, offsets)
-                asked = [(WORD, _counted(key, taught[doc])), (GRAM, _counted(grams(low, offsets), np.repeat(taught, np.diff(offsets))))]
+                taken(found[0], _counted(key, taught[doc]))
+                taken(found[1], _counted(grams(low, offsets), np.repeat(taught, np.diff(offsets))))
                 if ends:
-                    asked.append((GRAM, _counted(end_grams(low, offsets), taught)))
-                for kind, part in asked:
-                    taken(found[kind], part)
+                    taken(found[1], _counted(end_grams(low, offsets), taught))
     if found:
         yield from told(block, found)
 
@@ -239,12 +250,12 @@ def code_lengths(asked: DataFrame, counts: DataFrame, depth: int = DEPTH, ends:
 
 def _score(unknown: float, ends: bool):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        kind = answers.column("kind").to_numpy()
+        texts = pa.concat_tables([_unpacked(rows) for rows in texts.column("rows")])
         key = answers.column("key").to_numpy().view(np.uint64)
         value = answers.column("value").to_numpy()
         sets = []
-        for k in (WORD, GRAM):
-            own = np.flatnonzero(kind == k)
+        for of_words in (True, False):
+            own = np.flatnonzero((key >= np.uint64(WORD)) == of_words)
             distinct, first = np.unique(key[own], return_index=True)
             sets.append((Finder(distinct), value[own][first]))
         learns = ~texts.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -253,23 +264,23 @@ def _score(unknown: float, ends: bool):
             n = end - first
             low = LOWER[data]
             found, doc = words(low, offsets)
-            at = sets[WORD][0].find(found)
+            at = sets[0][0].find(found)
             # a word that stands once in all texts has no answer: it is known only to its own text, if that one teaches
-            count = np.where(at >= 0, sets[WORD][1][at] if len(sets[WORD][1]) else 0, learns[first:end][doc])
+            count = np.where(at >= 0, sets[0][1][at] if len(sets[0][1]) else 0, learns[first:end][doc])
             out["n_words"].append(np.bincount(doc, minlength=n))
             out["n_bytes"].append(np.diff(offsets))
             out["n_seen"].append(np.bincount(doc[count > 0], minlength=n))
             out["base"].append(np.bincount(doc, np.log10(count + 1), n) + unknown * np.bincount(doc, minlength=n))
-            where = sets[GRAM][0].find(grams(low, offsets))
+            where = sets[1][0].find(grams(low, offsets))
             if len(where) and where.min() < 0:
                 raise ValueError("a context of this block has no code length")
-            upto = np.append(0, np.cumsum(sets[GRAM][1][where] if len(where) else []))
+            upto = np.append(0, np.cumsum(sets[1][1][where] if len(where) else []))
             total = upto[offsets[1:]] - upto[offsets[:-1]]
             if ends:
-                where = sets[GRAM][0].find(end_grams(low, offsets))
+                where = sets[1][0].find(end_grams(low, offsets))
                 if len(where) and where.min() < 0:
                     raise ValueError("an end of this block has no code length")
-                total = total + sets[GRAM][1][where]
+                total = total + sets[1][1][where]
             out["score"].append(total)
         columns = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
         return pa.Table.from_arrays(
@@ -291,19 +302,19 @@ def score(docs: DataFrame, n: int = 7, rest: int = 2, block_bytes: int = BLOCK,
     count and are scored each for itself; null ids are learned from; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(n, rest).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = stage(rows.mapInArrow(_blocked(block_bytes), "block bigint, doc_id bigint, held_out boolean, text string"), "ctw-texts")
-    asked = stage(texts.select("block", "held_out", "text").mapInArrow(partial(_ask, ends=ends), "block bigint, kind int, key bigint, known bigint, total bigint"), "ctw-asked")
-    taught = texts.agg(F.count(F.when(~F.col("held_out"), 1))).first()[0]
-    counted = stage(asked.groupBy("kind", "key").agg(F.sum("known").alias("known"), F.sum("total").alias("total")), "ctw-counted")
-    totals = counted.where(f"kind = {WORD} and known > 0").agg(F.sum("known"), F.count(F.lit(1))).first()
+    texts = stage(rows.mapInArrow(_blocked(block_bytes), "block bigint, taught bigint, rows binary"), "ctw-texts")
+    asked = stage(texts.select("block", "rows").mapInArrow(partial(_ask, ends=ends), "block bigint, key bigint, known bigint, total bigint"), "ctw-asked")
+    taught = texts.agg(F.sum("taught")).first()[0] or 0
+    counted = stage(asked.groupBy("key").agg(F.sum("known").alias("known"), F.sum("total").alias("total")), "ctw-counted")
+    totals = counted.where("key < 0 and known > 0").agg(F.sum("known"), F.count(F.lit(1))).first()
     tokens, distinct = (totals[0] or 0) + taught, totals[1] + (1 if taught else 0)
-    whole = counted.where(f"kind = {GRAM}").select(F.col("key").alias("gram"), F.col("known").alias("n"))
-    lengths = code_lengths(whole.select("gram"), whole.where("n > 0"), ends=ends).select(F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "value")
-    often = counted.where(f"kind = {WORD} and total > 1").select("kind", "key", F.col("known").cast("double").alias("value"))
+    whole = counted.where("key >= 0").select(F.col("key").alias("gram"), F.col("known").alias("n"))
+    lengths = code_lengths(whole.select("gram"), whole.where("n > 0"), ends=ends).select(F.col("gram").alias("key"), "value")
+    often = counted.where("key < 0 and total > 1").select("key", F.col("known").cast("double").alias("value"))
     values = often.unionByName(lengths)
-    answers = asked.select("block", "kind", "key").join(values, ["kind", "key"])
+    answers = asked.select("block", "key").join(values, "key")
     unknown = -math.log10(tokens + distinct + 1)
-    scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scored = texts.select("block", "rows").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(unknown, ends), "doc_id bigint, held_out boolean, n_words bigint, n_seen bigint, n_bytes bigint, base double, score double"
     )
     end_known = F.lit(1 if taught else 0)
