@@ -250,7 +250,8 @@ def near_classes(
     on with the next ``HUBS`` such members. After the first round, pairs (and texts) whose shingles
     found in any other text still in question are too few for ``similarity`` are left out, which loses no link. Once the pairs between different classes that were not
     compared are at most ``PAIRS`` per document over all bands (``FEW`` before the first round, which joins a large group of near
-    copies by its hubs), each such pair is compared once, so no link is lost.
+    copies by its hubs), each such pair is compared once, so no link is lost. The rows of a bucket's largest class are not joined with each
+    other there, and hubs, once compared, leave their bucket.
     """
     sketch = stage(sketches(docs, bands, rows), "near-sketch")
     none = F.col("words") == 0
@@ -276,50 +277,57 @@ def near_classes(
     marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
     unstage(chosen, sizes)
     texts = groups.count()
-    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(False).alias("used"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
+    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
     labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
     unstage(members, people)
     # an intersection c is enough for the similarity s of sizes a and b if c (1 + s) >= s (a + b)
     enough = lambda c, sizes: c * (1 + similarity) + 1e-6 >= sizes * similarity
     fits = enough(F.least("common", "hub_common"), F.col("size") + F.col("hub_size"))
-    hubs, weighed = 1, False
+    hubs, weighed, first = 1, False, True
     while open_rows:
-        labelled = stage(state.join(labels, "id"), "near-labelled")
-        per_label = labelled.groupBy("key", "label").agg(F.count(F.when(~F.col("used"), 1)).alias("n"), F.count(F.lit(1)).alias("all"))
-        split = per_label.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-        # a bucket is done when the pairs between its classes all have a member that was compared with everyone
-        open_ = stage(split.select("key", ((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs")).where("classes > 1 and pairs > 0"), "near-open")
+        labelled = stage(state.join(labels, "id").withColumn("main", F.lit(False)), "near-labelled")
+        unstage(state)
+        per_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        split = per_label.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max(F.struct("n", "label"))["label"].alias("largest"))
+        # a bucket is done when all its members that were not compared with everyone are of one class
+        open_ = stage(split.select("key", "largest", ((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs")).where("pairs > 0"), "near-open")
         cost = open_.agg(F.sum("pairs")).first()[0] or 0
         if not cost:
+            unstage(labelled, open_)
             break
-        rest = labelled.join(open_.select("key"), "key")
+        if first:  # every text is a class, so every bucket is open
+            rest, first = labelled, False
+        else:  # written, as all that follows in this round reads it
+            rest = stage(labelled.join(open_.select("key", "largest"), "key").withColumn("main", F.col("label") == F.col("largest")).drop("largest"), "near-rest")
+            unstage(labelled)
+        unstage(open_)
         if hubs > 1 and not weighed:
             weighed = True
             weights = shared_weights(member_sets.join(rest.select("id").distinct(), "id"))
             able = weights.where(enough(F.col("common"), F.col("size") * (1 + similarity)))
-            fitting, open_rows, _ = stage_sized(rest.drop("size", "common", "label").join(able, "id"), "near-state")
-            unstage(state, labelled, open_)
-            state = fitting
+            state, open_rows, _ = stage_sized(rest.drop("size", "common", "label", "main").join(able, "id"), "near-state")
+            unstage(rest)
             continue
         last = cost <= (PAIRS if weighed else FEW) * texts
-        free = rest.where(~F.col("used"))
         if last:
-            chosen = free
+            # the largest class of a bucket is met by all others and not by itself: the rows that meet are at most twice the pairs between classes
+            chosen = rest.where(~F.col("main"))
         else:
             by_company = Window.partitionBy("key").orderBy(F.desc("company"), "id")
-            chosen = free.withColumn("place", F.row_number().over(by_company)).where(F.col("place") <= hubs)
+            chosen = rest.withColumn("place", F.row_number().over(by_company)).where(F.col("place") <= hubs)
             hubs = HUBS
         chosen = chosen_hubs = stage(chosen.select("key", *[F.col(c).alias("hub" if c == "id" else f"hub_{c}") for c in ("id", "label", "size", "common")]), "near-hubs")
         if last:
             # a pair that shares an earlier band is left to that one
             signs = marked.select("id", "keys")
-            mine = free.join(signs, "id")
+            mine = rest.join(signs, "id")
             chosen = chosen.join(signs.select(F.col("id").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
             first_band = ~F.arrays_overlap(F.slice("keys", 1, F.col("band")), "hub_keys")
-            pairs = mine.join(chosen, (mine["key"] == chosen["key"]) & (F.col("id") < F.col("hub")) & (F.col("label") != F.col("hub_label")) & fits & first_band)
-            pairs = pairs.select(F.col("id").alias("a"), F.col("hub").alias("b"))
+            once = F.col("main") | (F.col("id") < F.col("hub"))
+            pairs = mine.join(chosen, (mine["key"] == chosen["key"]) & once & (F.col("label") != F.col("hub_label")) & fits & first_band)
         else:
-            pairs = rest.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & fits).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
+            pairs = rest.join(chosen, "key").where((F.col("label") != F.col("hub_label")) & fits)
+        pairs = pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
         held = member_sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
         other = member_sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
         tested = pairs.distinct().join(held, "a").join(other, "b").select("a", "b", "sa", "sb")
@@ -330,15 +338,12 @@ def near_classes(
         unstage(labels, links)
         labels = relabelled
         if last:
-            unstage(state, labelled, open_, chosen_hubs, marked, member_sets)
+            unstage(rest, chosen_hubs, marked, member_sets)
             break
-        used = chosen.select("key", F.col("hub").alias("id"), F.lit(True).alias("now"))
-        following, open_rows, _ = stage_sized(
-            rest.join(used, ["key", "id"], "left").select("key", "band", "id", "company", "size", "common", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
-            "near-state",
-        )
-        unstage(state, labelled, open_, chosen_hubs)
-        state = following
+        # a hub was compared with every other class of its bucket and is done there
+        others = rest.join(chosen.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+        state, open_rows, _ = stage_sized(others.select("key", "band", "id", "company", "size", "common"), "near-state")
+        unstage(rest, chosen_hubs)
     classes = groups.join(labels.withColumnRenamed("id", "node"), "node", "left")
     classes = classes.select("text", F.coalesce("label", "node").alias("class_id"), "copies")
     return ids.join(classes, "text").select("doc_id", "class_id", "copies")
