@@ -269,23 +269,26 @@ def near_classes(
     unstage(sketch)
     banded = chosen.select("id", F.posexplode("keys").alias("band", "key"))
     sizes, _, size_bytes = stage_sized(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-sizes")
-    members = stage(banded.join(F.broadcast(sizes) if size_bytes <= BROADCAST_BYTES else sizes, "key"), "near-members")
-    people = stage(members.groupBy("id").agg(F.sum("n").alias("company")), "near-people")
+    members = banded.join(F.broadcast(sizes) if size_bytes <= BROADCAST_BYTES else sizes, "key")
+    # a text has one place a band at most
+    people = stage(members.groupBy("id").agg(F.sum("n").alias("company"), F.collect_list(F.struct("key", "band")).alias("places")), "near-people")
     if pick is None:
         pick = lambda wanted: sized_join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, ["doc_id"], "left_semi")
     member_sets = stage(of_nodes(shingle_sets(pick(people.select(F.col("id").alias("doc_id")))), "shingles"), "near-sets")
     marked = stage(chosen.join(people.select("id"), "id"), "near-marked")
     unstage(chosen, sizes)
     texts = groups.count()
-    state, open_rows, _ = stage_sized(members.join(people, "id").select("key", "band", "id", "company", F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("common")), "near-state")
+    unknown = {c: F.lit(0).cast("long") for c in ("size", "common")}
+    state, open_rows, _ = stage_sized(people.select("id", "company", F.col("id").alias("label"), F.inline("places")).withColumns(unknown), "near-state")
     labels = stage(people.select("id", F.col("id").alias("label")), "near-labels")
-    unstage(members, people)
+    unstage(people)
     # an intersection c is enough for the similarity s of sizes a and b if c (1 + s) >= s (a + b)
     enough = lambda c, sizes: c * (1 + similarity) + 1e-6 >= sizes * similarity
     fits = enough(F.least("common", "hub_common"), F.col("size") + F.col("hub_size"))
     hubs, weighed, first = 1, False, True
     while open_rows:
-        labelled = stage(state.join(labels, "id").withColumn("main", F.lit(False)), "near-labelled")
+        named = state if "label" in state.columns else state.join(labels, "id")
+        labelled = stage(named.withColumn("main", F.lit(False)), "near-labelled")
         unstage(state)
         per_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         split = per_label.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max(F.struct("n", "label"))["label"].alias("largest"))
@@ -305,7 +308,7 @@ def near_classes(
             weighed = True
             weights = shared_weights(member_sets.join(rest.select("id").distinct(), "id"))
             able = weights.where(enough(F.col("common"), F.col("size") * (1 + similarity)))
-            state, open_rows, _ = stage_sized(rest.drop("size", "common", "label", "main").join(able, "id"), "near-state")
+            state, open_rows, _ = stage_sized(rest.drop("size", "common", "main").join(able, "id"), "near-state")
             unstage(rest)
             continue
         last = cost <= (PAIRS if weighed else FEW) * texts
